@@ -60,7 +60,5 @@ def quality_codes(rule: Column) -> dict[str, Column]:
         "qualityCodesCategorization": [r.category for r in QUALITY_RULES],
         "qualityCodesIndex": [r.index for r in QUALITY_RULES],
     }
-    return {
-        name: F.coalesce(F.get(F.array(*[F.lit(code) for code in codes]), rule), F.lit(""))
-        for name, codes in columns.items()
-    }
+    return {name: F.coalesce(F.get(F.expr(f"array({', '.join(map(repr, codes))})"), rule), F.lit(""))
+            for name, codes in columns.items()}

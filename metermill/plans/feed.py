@@ -16,32 +16,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metermill.functions.scalars import multiplier_text
 from metermill.operators.sets import union_all
 from metermill.operators.unnest import nested_array
 from metermill.plans.kinds import KINDS, READING_FIELDS, ReadingKind
-from metermill.plans.translate import Text, canonical_columns, document_columns, translate
-from metermill.schemas import FEED_COLUMNS, MULTIPLIER_PARTS
+from metermill.plans.translate import Text, canonical, document_rows, kind_readings, text_literal
+from metermill.schemas import CANONICAL_COLUMNS, FEED_COLUMNS, MULTIPLIER_PARTS
 
 # The common element type of the fused arrays.
 _FUSED = "array<struct<kind:int," + ",".join(
     f"{name}:{'int' if name == 'quality' else 'string'}" for name in READING_FIELDS) + ">>"
 
-
-def feed_value(kind: ReadingKind, value: Column) -> Column:
-    if kind.feed_value_as_double:
-        value = value.cast("double")
-    return value.cast("string")
+# The feed's columns are all text, but for the device.
+_TEXT_CANONICAL = T.StructType([
+    T.StructField(name, T.LongType() if name == "deviceId" else T.StringType()) for name in CANONICAL_COLUMNS])
 
 
 def feed_types(readings: DataFrame, kind: ReadingKind) -> DataFrame:
-    """Canonical readings with the feed's types: all text, but for ``deviceId``."""
-    return readings.select(*[
-        F.col(name) if name == "deviceId"
-        else (feed_value(kind, F.col(name)) if name == "readingsValue" else F.col(name).cast("string")).alias(name)
-        for name in readings.columns
-    ])
+    """Canonical readings with the feed's types."""
+    if kind.feed_value_as_double:
+        readings = readings.withColumn("readingsValue", F.col("readingsValue").cast("double"))
+    return readings.to(_TEXT_CANONICAL)
 
 
 def with_multiplier(readings: DataFrame) -> DataFrame:
@@ -51,8 +48,12 @@ def with_multiplier(readings: DataFrame) -> DataFrame:
 
 def unified_feed(documents: DataFrame, kinds: Sequence[ReadingKind] = KINDS, owner: Text | None = None,
                  guid_file: Text | None = None) -> DataFrame:
-    branches = [feed_types(translate(documents, kind, owner, guid_file), kind) for kind in kinds]
-    return with_multiplier(union_all(branches))
+    parents = document_rows(documents, [k.array for k in kinds], owner, guid_file)
+    return with_multiplier(union_all([feed_types(kind_readings(parents, kind), kind) for kind in kinds]))
+
+
+def _feed_value(kind: ReadingKind, value: Column) -> Column:
+    return (value.cast("double") if kind.feed_value_as_double else value).cast("string")
 
 
 def _fused_reading(position: int, kind: ReadingKind):
@@ -65,7 +66,7 @@ def _fused_reading(position: int, kind: ReadingKind):
             if name == "quality":
                 value = reading.get(name, F.lit(None)).cast("int")
             elif name in reading:
-                value = feed_value(kind, reading[name]) if name == "readingsValue" else reading[name].cast("string")
+                value = _feed_value(kind, reading[name]) if name == "readingsValue" else reading[name].cast("string")
             else:
                 value = F.lit(kind.constants.get(name, ""))
             fields.append(value.alias(name))
@@ -76,18 +77,18 @@ def _fused_reading(position: int, kind: ReadingKind):
 
 def fused_feed(documents: DataFrame, kinds: Sequence[ReadingKind] = KINDS, owner: Text | None = None,
                guid_file: Text | None = None) -> DataFrame:
-    parents = documents.select(*document_columns(owner, guid_file), *dict.fromkeys(k.array for k in kinds))
-    document = [c for c in parents.columns if c not in {k.array for k in kinds}]
-    empty = F.array().cast(_FUSED)
-    arrays = [
+    parents = document_rows(documents, [k.array for k in kinds], owner, guid_file)
+    arrays = {k.array for k in kinds}
+    document = [c for c in parents.columns if c not in arrays]
+    empty = F.expr(f"CAST(array() AS {_FUSED})")
+    families = [
         nested_array(F.col(kind.array), kind.steps, _fused_reading(position, kind), empty, kind.keep)
         for position, kind in enumerate(kinds)
     ]
-    readings = parents.select(*document, F.explode(F.concat(*arrays)).alias("reading"))
-    constants = {
-        name: F.get(F.array(*[F.lit(k.constants.get(name, "")) for k in kinds]), F.col("reading.kind"))
-        for name in ("readingType", "logNumber", "version", "owner", "guidFile")
-    }
-    fields = {name: F.col(f"reading.{name}") for name in READING_FIELDS}
-    canonical = readings.select(*canonical_columns(constants, fields, document))
-    return with_multiplier(canonical).select(*FEED_COLUMNS)
+    readings = parents.select(*document, F.explode(F.concat(*families)).alias("reading"))
+    values = {name: F.col(f"reading.{name}") for name in READING_FIELDS}
+    for name in ("readingType", "logNumber", "version", "owner", "guidFile"):
+        if name not in document:
+            texts = ", ".join(text_literal(k.constants.get(name, "")) for k in kinds)
+            values[name] = F.expr(f"get(array({texts}), reading.kind)")
+    return with_multiplier(canonical(readings, values, {})).select(*FEED_COLUMNS)
