@@ -8,7 +8,7 @@ interval meters.  How many readings of a kind a document holds varies by row, fr
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +62,7 @@ def _header(key: Column, meter: Column, time: Column, source: Column) -> list[Co
     ]
 
 
+@lru_cache(maxsize=8)
 def register_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number, shipped = F.col("l_linenumber"), F.col("l_shipdate")
@@ -96,6 +97,7 @@ def register_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                lambda i: _unless((number + i) % 6 == 0, F.col("l_quantity") + i)).alias("CumulativeDemandData"))
 
 
+@lru_cache(maxsize=8)
 def reset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     key, customer, ordered = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -127,6 +129,7 @@ def reset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _unless(F.col("o_orderstatus") == "F", _some(reversals, key % 2 + 1)).alias("ReverseEnergySummary"))
 
 
+@lru_cache(maxsize=8)
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     key, kind, value = F.col("event_id"), F.col("event_type"), F.col("value")
@@ -183,6 +186,7 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         intervals.alias("IntervalData"))
 
 
+@lru_cache(maxsize=8)
 def meter_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents.  A family that a meter does not have is NULL."""
     parts = [make(spark, sf_dir) for make in (register_documents, reset_documents, event_documents)]

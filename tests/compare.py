@@ -19,7 +19,7 @@ TABLES = ("lineitem", "orders", "events")
 
 def bag(rows, columns: list[str]) -> Counter:
     order = sorted(range(len(columns)), key=lambda at: columns[at])
-    return Counter(tuple(str(row[at]) for at in order) for row in rows)
+    return Counter(tuple(repr(row[at]) for at in order) for row in rows)
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -1,0 +1,71 @@
+"""The job end to end, over the hand-written exports."""
+
+import csv
+from pathlib import Path
+
+import pytest
+from exports import FIRST, write_exports
+
+from metermill import KINDS, kind_named, translate_export
+from metermill.schemas import CANONICAL_COLUMNS, FEED_COLUMNS
+
+
+def read_csv(folder):
+    rows, headers = [], set()
+    for part in Path(folder).glob("part-*.csv"):
+        with part.open(newline="", encoding="utf-8") as lines:
+            reader = csv.DictReader(lines)
+            headers.add(tuple(reader.fieldnames or ()))
+            rows += list(reader)
+    return rows, headers
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory):
+    return write_exports(tmp_path_factory.mktemp("exports"))
+
+
+def test_all_outputs(spark, folder, tmp_path):
+    written = translate_export(spark, folder, str(tmp_path))
+    assert set(written.kinds) == {k.name for k in KINDS if k.written}
+    assert not (tmp_path / "EventDataReadings").exists()
+    rows, headers = read_csv(tmp_path / "MaxDemandDataReadings")
+    assert headers == {CANONICAL_COLUMNS}
+    assert sorted(r["readingLocalTime"] for r in rows) == ["2020-01-01T10:00:00.000Z", "2020-01-02T03:04:05.000Z"]
+    assert sorted(r["ke"] for r in rows) == ["", "1"]
+    counts, _ = read_csv(tmp_path / "DemandResetCountReadings")
+    assert sorted(r["readingsValue"] for r in counts) == ["14", "15"]
+    feed, headers = read_csv(tmp_path / "union")
+    assert headers == {FEED_COLUMNS} and len(feed) == 67
+    assert {"14.0", "15.0"} <= {r["readingsValue"] for r in feed if r["variableId"] == "Demand Reset"}
+    assert "2020-01-02 03:04:05" in {r["readingLocalTime"] for r in feed}
+    # Blank and missing both print as nothing.
+    assert '""' not in "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "union").glob("part-*.csv"))
+
+
+def test_switches(spark, folder, tmp_path):
+    written = translate_export(
+        spark, folder, str(tmp_path / "out"), kinds=[kind_named("EventData"), kind_named("DemandReset")],
+        write_events=True, single_file=True, guid_from_file_name=True, owner="utility",
+        staging_path=str(tmp_path / "staged"))
+    assert written.staged == str(tmp_path / "staged")
+    assert len(list((tmp_path / "out" / "union").glob("part-*.csv"))) == 1
+    rows, _ = read_csv(tmp_path / "out" / "EventDataReadings")
+    assert {(r["owner"], r["guidFile"]) for r in rows} == {("utility", "first.xml")}
+
+
+def test_kinds_without_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    without = FIRST[:FIRST.index('<MeterReadings Irn="3"')] + "</AMRDEF>"
+    (tmp_path / "in" / "a.xml").write_text(without, encoding="utf-8")
+    written = translate_export(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    # Only the status and interval outputs are left out when they are empty.
+    assert not {"Statuses", "IntervalData"} & set(written.kinds)
+    assert not (tmp_path / "out" / "StatusReadings").exists()
+    assert (tmp_path / "out" / "OutageCountReadings").exists()
+
+
+def test_staging_goes_under_the_configured_folder(spark, folder, tmp_path):
+    written = translate_export(spark, folder, str(tmp_path), kinds=[kind_named("DemandReset")])
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    assert written.staged.startswith(configured or str(tmp_path / "_staging"))
