@@ -126,10 +126,13 @@ def _(spark, sf_dir):
     return _read_csv(spark, path).select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in _CSV_COLUMNS])
 
 
-@query("s7_csv_feed", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))
+_ORDER_KINDS = (K.DEMAND_RESET_COUNT, K.DEMAND_RESET, K.LOAD_PROFILE, K.OUTAGE_COUNT, K.REVERSE_ENERGY)
+
+
+@query("s7_csv_feed", O.feed_sql([O.EXPECTED[k.name] for k in _ORDER_KINDS], blank_as_null=True))
 def _(spark, sf_dir):
     path = _folder(spark)
-    write_csv(unified_feed(meter_documents(spark, sf_dir)), path)
+    write_csv(unified_feed(reset_documents(spark, sf_dir), _ORDER_KINDS), path)
     return _read_csv(spark, path).withColumn("deviceId", F.col("deviceId").cast("long"))
 
 
@@ -262,12 +265,17 @@ def _(spark, sf_dir):
     return rows.select("irn", element["_TimeStamp"].alias("at"))
 
 
-@query("f5_skip_empty_kinds", O.feed_sql([O.MAX_DEMAND, O.CONSUMPTION, O.COINCIDENT, O.CUMULATIVE]))
+_SHORT_COLUMNS = ("deviceId", "readingType", "variableId", "readingsValue")
+
+
+@query("f5_skip_empty_kinds", " UNION ALL ".join(
+    O.select(k.documents, {n: O.feed_columns(k)[n] for n in _SHORT_COLUMNS}, k.joins, k.where)
+    for k in (O.MAX_DEMAND, O.CONSUMPTION, O.COINCIDENT, O.CUMULATIVE)))
 def _(spark, sf_dir):
     # Register meters hold no status and no interval; their kinds are left out of the union.
     documents = meter_documents(spark, sf_dir).filter(F.col("ConsumptionData").isNotNull())
     kinds = [k for k in K.KINDS if not (k.skipped_when_empty and translate(documents, k).isEmpty())]
-    return unified_feed(documents, kinds)
+    return unified_feed(documents, kinds).select(*_SHORT_COLUMNS)
 
 
 @query("f6_missing_family", O.select(O.EVENTS, {"irn": "event_id", "statuses": "(event_id + g) % 3"},
@@ -539,10 +547,9 @@ def _(spark, sf_dir):
     return fused_feed(meter_documents(spark, sf_dir))
 
 
-@query("k14_feed_fused_from_xml", _FEED)
+@query("k14_feed_fused_from_xml", O.feed_sql([O.INSTRUMENTATION, O.STATUSES, O.EVENT, O.INTERVAL]))
 def _(spark, sf_dir):
-    exports = exported(spark, sf_dir, "all", meter_documents)
-    return fused_feed(read_documents(spark, exports, kinds=K.KINDS))
+    return fused_feed(read_documents(spark, _event_exports(spark, sf_dir), kinds=K.KINDS))
 
 
 @query("job_export_to_feed_csv", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))
