@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metermill import KINDS, fused_feed, read_documents, translate, translate_export, unified_feed
+from metermill.sources.fragments import WHOLE_BYTES
 from metermill.sources.sinks import shared_folder, stage
 from metermill.workload.documents import exported, meter_documents
 
@@ -47,7 +48,7 @@ def main() -> None:
         return lambda: readings().write.format("noop").mode("overwrite").save()
 
     exports = exported(spark, sf_dir, "all", meter_documents)
-    documents = read_documents(spark, exports, kinds=KINDS)
+    documents = read_documents(spark, exports, kinds=KINDS, whole_bytes=WHOLE_BYTES)
     staged = timed("stage_xml", lambda: stage(documents, shared_folder(spark, "/tmp")))
     for kind in KINDS:
         timed(f"kind_{kind.name}", drain(lambda kind=kind: translate(staged, kind)))

@@ -1,6 +1,7 @@
 """Reading exports: splits, comments, encodings, bad values, schemas."""
 
 import json
+import random
 
 import pytest
 from exports import write_exports
@@ -123,3 +124,34 @@ def test_written_documents_read_back(spark, tmp_path):
     back = read_documents(spark, str(tmp_path / "out"))
     columns = ["_Irn", "_CollectionTime", "_Source", "InstrumentationValue._Value", "InstrumentationValue._Timestamp"]
     assert sorted(map(repr, back.select(*columns).collect())) == sorted(map(repr, documents.select(*columns).collect()))
+
+
+def random_export(rng) -> str:
+    """Documents in all the forms XML allows, with comments and white space between and inside them."""
+    comments = ["", "", "<!-- plain -->", "<!-- <MeterReadings Irn='-1'/> -->", "<!-- > ' \" -->", "<?note x?>"]
+    spaces = ["", "\r", "\n\n", " \t "]
+
+    def gap():
+        return rng.choice(spaces) + rng.choice(comments) + rng.choice(spaces)
+
+    def one():
+        quote = rng.choice("'\"")
+        attributes = f" Irn={quote}{rng.randrange(1000)}{quote} Source={quote}a&gt;b > c/{quote}"
+        if rng.random() < 0.3:
+            return f"<MeterReadings{attributes}{rng.choice(['', ' '])}/>"
+        inside = gap().join(f'<DemandResetCount Count="{rng.randrange(9)}" UOM="{rng.choice(["Times", ""])}"/>'
+                            for _ in range(rng.randrange(4)))
+        return f"<MeterReadings{attributes}>{inside}</MeterReadings{rng.choice(['', '', ' ', chr(10)])}>"
+
+    body = "".join(gap() + one() for _ in range(rng.randrange(6)))
+    return rng.choice(['<?xml version="1.0"?>', ""]) + gap() + "<AMRDEF>" + body + gap() + "</AMRDEF>"
+
+
+def test_random_exports_read_the_same_both_ways(spark, tmp_path):
+    rng = random.Random(7)
+    for n in range(150):
+        (tmp_path / f"{n}.xml").write_text(random_export(rng), encoding="utf-8", newline="")
+    columns = ["_FileName", "_Irn", "_Source", "DemandResetCount"]
+    split, whole = (sorted(map(repr, read_documents(spark, str(tmp_path), split_files=way, file_name=True)
+                               .select(*columns).collect())) for way in (True, False))
+    assert split == whole and len(split) > 200
