@@ -8,18 +8,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality, toxicity
+from .addressable_codes import token_files
 from .byte_bpe import round_trip
 from .common import table
 from .decontamination import contamination
 from .near_duplicates import NearDuplicates, near_duplicates
+from .passages import shared_passages
 from .personal_data import personal_data
-from . import quality, toxicity
+from .phrases import edited_fingerprints
+from .warc import history
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDuplicates(shingle_words=4))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history(table(spark, sf_dir, "pages"))
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,6 +43,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return toxicity.graded(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
@@ -44,8 +60,13 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_near_duplicates, op4_decontamination, op5_quality, op7_toxicity,
-                                        op8_byte_bpe, op9_personal_data)}
+    query.__name__: query for query in (
+        op1_near_duplicates, op2_warc, op3_fingerprints, op4_decontamination, op5_quality, op6_token_files, op7_toxicity,
+        op8_byte_bpe, op9_personal_data, op10_shared_passages)}
 
 ORACLE: dict[str, str] = {}
