@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, checkpointed, lists, mixed, numbers, staged, text_bytes
@@ -131,6 +131,44 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(compare, "u long, v long, common long, united long"))
 
 
+def prefix_pairs(rest: DataFrame, sets: DataFrame, by: NearDuplicates) -> DataFrame:
+    """(u, v), u the larger, of those rows of rest (doc_id, component) with different components whose sets may be
+    similar enough.
+
+    If shingles are ordered by rarity, similar sets of n and m have their first common one among the first n - a + 1 and
+    m - a + 1, where a = ceil(percent (n + m) / (100 + percent)) is the least overlap, and differ in size by little.
+    Copies with edits of their own have these edits first, and so meet few others.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, component, one in zip(*(batch.column(name) for name in ("doc_id", "component", "shingles")),
+                                              strict=True):
+                hashes = np.frombuffer(one.as_buffer(), np.int64)
+                whole = [pa.repeat(value, len(hashes)) for value in (doc_id, component, pa.scalar(len(hashes), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*whole, pa.array(hashes)], ["doc_id", "component", "n", "shingle"])
+
+    each = staged(rest.join(sets, "doc_id").select("doc_id", "component", "shingles").mapInArrow(
+        spread, "doc_id long, component long, n long, shingle long"), "rest")
+    rarity = (each.groupBy("shingle").agg(F.count("*").alias("found"))
+              .select("shingle", "found"))
+    order = Window.partitionBy("doc_id").orderBy("found", "shingle")
+    first = (each.join(rarity, "shingle").withColumn("place", F.row_number().over(order))
+             .filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * by.percent / 100) + 1).filter("found > 1"))
+    first = staged(first.select("doc_id", "component", "n", "shingle", "place"), "prefixes")
+    mixed_ones = first.groupBy("shingle").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter(
+        "a != b").select("shingle")
+    first = first.join(mixed_ones, "shingle")
+    one, other = first.alias("one"), first.alias("other")
+    overlap = F.ceil((F.col("one.n") + F.col("other.n")) * by.percent / (100 + by.percent))
+    return (one.join(other, F.col("one.shingle") == F.col("other.shingle"))
+            .filter((F.col("one.component") != F.col("other.component")) & (F.col("one.doc_id") > F.col("other.doc_id"))
+                    & (F.col("one.place") <= F.col("one.n") - overlap + 1)
+                    & (F.col("other.place") <= F.col("other.n") - overlap + 1)
+                    & (100 * F.least("one.n", "other.n") >= by.percent * F.greatest("one.n", "other.n")))
+            .select(F.col("one.doc_id").alias("u"), F.col("other.doc_id").alias("v")).distinct())
+
+
 def linked(verified: DataFrame, by: NearDuplicates) -> DataFrame:
     return verified.filter(100 * F.col("common") >= by.percent * F.col("united")).select("u", "v")
 
@@ -143,9 +181,8 @@ def near_duplicates(documents: DataFrame, by: NearDuplicates = NearDuplicates())
 
     Documents with the same set form a class of which the smallest id takes part.  In each bucket of a band every class
     is compared with the smallest one, so a bucket costs its size however large it is.  Only in buckets whose members
-    then still belong to different components are further pairs compared: those of different components that the exact
-    distances to the smallest leave possible (a distance of two documents is at least the difference of theirs to a
-    third).
+    then still belong to different components are further pairs compared: those of different components that an exact
+    filter of prefixes and positions leaves possible.
 
     Null or empty text: an empty set, linked with nothing.  Null doc_id: linked with nothing, component_id null, kept.
     Rows that repeat a doc_id are documents of
@@ -171,19 +208,12 @@ def near_duplicates(documents: DataFrame, by: NearDuplicates = NearDuplicates())
     links = linked(verified, by)
     found = components(links)
 
-    distances = verified.select(F.col("u").alias("member"), F.col("v").alias("hub"),
-                                (1 - F.col("common") / F.col("united")).alias("far"))
     placed = (buckets.join(found.withColumnRenamed("node", "member"), "member", "left")
               .select("bucket", "hub", "member", F.coalesce("component", "member").alias("component")))
     split = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter(
         "a != b").select("bucket")
-    rest = placed.join(split, "bucket").filter("member != hub").join(distances, ["member", "hub"])
-    one, other = rest.alias("one"), rest.alias("other")
-    reach = 1 - by.percent / 100 + 1e-9
-    pairs = (one.join(other, F.col("one.bucket") == F.col("other.bucket"))
-             .filter((F.col("one.component") != F.col("other.component")) & (F.col("one.member") < F.col("other.member"))
-                     & (F.abs(F.col("one.far") - F.col("other.far")) <= reach))
-             .select(F.col("one.member").alias("u"), F.col("other.member").alias("v")).distinct())
+    rest = placed.join(split, "bucket").select(F.col("member").alias("doc_id"), "component").distinct()
+    pairs = prefix_pairs(rest, sets, by).join(verified.select("u", "v"), ["u", "v"], "left_anti")
     pairs = checkpointed(pairs)
     if not pairs.isEmpty():
         found = components(links.union(linked(compared(pairs, sets), by)))
