@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metermill.llm import toxicity
 from metermill.llm.byte_bpe import round_trip
-from metermill.llm.common import staged, table
+from metermill.llm.common import small_batches, staged, table
 from metermill.llm.decontamination import contamination
 from metermill.llm.near_duplicates import NearDuplicates, near_duplicates
 from metermill.llm.personal_data import masked
@@ -19,6 +19,7 @@ from metermill.llm.personal_data import masked
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the toxicity model, learnt from the labels, rejects."""
+    small_batches(spark)
     return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 

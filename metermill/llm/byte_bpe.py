@@ -24,7 +24,7 @@ from .words import segment_hashes
 
 NONE = np.int32(2**31 - 1)
 #: Pieces that a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 #: Longest piece, in bytes, that goes into a matrix; a row of more is merged with a heap, as moving it up would be slow.
 LONGEST_ROW = 512
 MATRIX_CELLS = 1 << 20

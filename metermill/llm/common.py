@@ -36,11 +36,18 @@ def ship(query: Callable) -> Callable:
                 for source in (ROOT / "metermill").rglob("*.py"):
                     file.write(source, source.relative_to(ROOT))
             spark.sparkContext.addPyFile(name)
+        small_batches(spark)
         return query(spark, *args)
 
     return shipped
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows at once between Spark and Python, as texts are long."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":  # Spark's own default
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

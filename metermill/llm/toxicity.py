@@ -95,18 +95,17 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, by
     words = np.array([row["word"] for row in chosen], np.int64).view(np.uint64)
     order = np.argsort(words)
     words, marks = words[order], np.array([row["sure"] for row in chosen])[order] > 3
-    known = np.array([row["word"] for row in chosen], np.int64)
-    rows = (sample.select("doc_id", "label", F.arrays_zip("words", "counts").alias("both"))
-            .select("doc_id", "label", F.filter("both", lambda one: one["words"].isin([int(x) for x in known])).alias("both"))
-            .orderBy("doc_id").toPandas())
-    sizes = rows["both"].map(len).to_numpy()
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    pairs = [(one["words"], one["counts"]) for both in rows["both"] for one in both]
-    found = np.array([one for one, _ in pairs], np.int64).view(np.uint64)
-    counts = np.array([number for _, number in pairs], float)
-    feature = np.searchsorted(words, found)
-    label = rows["label"].to_numpy()
-    marked = np.bincount(owner, counts * marks[feature], len(rows))
+    known = [row["word"] for row in chosen]
+    # Columns of numbers, not rows of objects: at most training_rows documents with `features` words each.
+    rows = sample.select("doc_id", "label").orderBy("doc_id").toArrow()
+    doc_ids, label = (rows.column(name).to_numpy() for name in ("doc_id", "label"))
+    hits = (sample.select("doc_id", F.explode(F.arrays_zip("words", "counts")).alias("one"))
+            .select("doc_id", F.col("one.words").alias("word"), F.col("one.counts").alias("count"))
+            .filter(F.col("word").isin(known)).orderBy("doc_id", "word").toArrow())
+    owner = np.searchsorted(doc_ids, hits.column("doc_id").to_numpy())
+    feature = np.searchsorted(words, hits.column("word").to_numpy().view(np.uint64))
+    counts = hits.column("count").to_numpy().astype(float)
+    marked = np.bincount(owner, counts * marks[feature], len(label))
     cuts = np.quantile(marked[label == 1], [1 / 3, 2 / 3])
     grades = np.where(label == 1, 1 + np.searchsorted(cuts, marked), 0)
     return Model(words, *ordinal(owner, feature, np.log1p(counts), grades, len(words), by))
