@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metermill import KINDS, fused_feed, read_documents, translate, translate_export, unified_feed
 from metermill.sources.fragments import WHOLE_BYTES
-from metermill.sources.sinks import shared_folder, stage
+from metermill.sources.sinks import stage, working_folder
 from metermill.workload.documents import exported, meter_documents
 
 
@@ -49,13 +49,13 @@ def main() -> None:
 
     exports = exported(spark, sf_dir, "all", meter_documents)
     documents = read_documents(spark, exports, kinds=KINDS, whole_bytes=WHOLE_BYTES)
-    staged = timed("stage_xml", lambda: stage(documents, shared_folder(spark, "/tmp")))
+    staged = timed("stage_xml", lambda: stage(documents, working_folder(spark)))
     for kind in KINDS:
         timed(f"kind_{kind.name}", drain(lambda kind=kind: translate(staged, kind)))
     timed("feed_union_staged", drain(lambda: unified_feed(staged)))
     timed("feed_fused_staged", drain(lambda: fused_feed(staged)))
     timed("feed_fused_xml", drain(lambda: fused_feed(documents)))
-    timed("job", lambda: translate_export(spark, exports, shared_folder(spark, "/tmp")))
+    timed("job", lambda: translate_export(spark, exports, working_folder(spark)))
     print(json.dumps({
         "metric": "meter_translation_total", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))

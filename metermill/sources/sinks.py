@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,21 @@ def shared_folder(spark: SparkSession, default: str) -> str:
     return f"{root.rstrip('/')}/metermill-{uuid.uuid4().hex}"
 
 
+def working_folder(spark: SparkSession) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder; a temporary one stands in on a single machine."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="metermill-"))
+    return shared_folder(spark, "")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there, through the file system that its address names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
 def stage(documents: DataFrame, path: str) -> DataFrame:
     """Write documents as Parquet and read them back.
 

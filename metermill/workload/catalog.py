@@ -20,7 +20,7 @@ from metermill.plans.translate import translate
 from metermill.schemas import document_schema
 from metermill.sources.documents import read_documents
 from metermill.sources.schema_files import export_schema, infer_schema, load_schema
-from metermill.sources.sinks import shared_folder, write_csv
+from metermill.sources.sinks import working_folder, write_csv
 from metermill.workload import oracle as O
 from metermill.workload.documents import (event_documents, exported, meter_documents, register_documents,
                                           reset_documents)
@@ -41,7 +41,7 @@ def query(name: str, sql: str) -> Callable[[Query], Query]:
 
 
 def _folder(spark: SparkSession) -> str:
-    return shared_folder(spark, "/tmp")
+    return working_folder(spark)
 
 
 def _read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -126,13 +126,10 @@ def _(spark, sf_dir):
     return _read_csv(spark, path).select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in _CSV_COLUMNS])
 
 
-_ORDER_KINDS = (K.DEMAND_RESET_COUNT, K.DEMAND_RESET, K.LOAD_PROFILE, K.OUTAGE_COUNT, K.REVERSE_ENERGY)
-
-
-@query("s7_csv_feed", O.feed_sql([O.EXPECTED[k.name] for k in _ORDER_KINDS], blank_as_null=True))
+@query("s7_csv_feed", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))
 def _(spark, sf_dir):
     path = _folder(spark)
-    write_csv(unified_feed(reset_documents(spark, sf_dir), _ORDER_KINDS), path)
+    write_csv(unified_feed(meter_documents(spark, sf_dir)), path)
     return _read_csv(spark, path).withColumn("deviceId", F.col("deviceId").cast("long"))
 
 
@@ -199,9 +196,11 @@ def _(spark, sf_dir):
     return translate(meter_documents(spark, sf_dir), K.MAX_DEMAND).select("deviceId", "readingLocalTime", "readingsValue")
 
 
-@query("p8_canonical_select", O.kind_sql(O.LOAD_PROFILE))
+@query("p8_canonical_select", " UNION ALL ".join(O.kind_sql(k) for k in (O.MAX_DEMAND, O.COINCIDENT, O.CUMULATIVE, O.LOAD_PROFILE)))
 def _(spark, sf_dir):
-    return translate(meter_documents(spark, sf_dir), K.LOAD_PROFILE)
+    documents = meter_documents(spark, sf_dir)
+    return union_all([translate(documents, k) for k in
+                      (K.MAX_DEMAND, K.COINCIDENT_DEMAND, K.CUMULATIVE_DEMAND, K.LOAD_PROFILE)])
 
 
 @query("p9_column_overwrite", O.select(O.LINES, {"irn": "l_orderkey", "unit": O.CONSUMED.format("°")}, O.LINE_JOINS))
@@ -265,17 +264,12 @@ def _(spark, sf_dir):
     return rows.select("irn", element["_TimeStamp"].alias("at"))
 
 
-_SHORT_COLUMNS = ("deviceId", "readingType", "variableId", "readingsValue")
-
-
-@query("f5_skip_empty_kinds", " UNION ALL ".join(
-    O.select(k.documents, {n: O.feed_columns(k)[n] for n in _SHORT_COLUMNS}, k.joins, k.where)
-    for k in (O.MAX_DEMAND, O.CONSUMPTION, O.COINCIDENT, O.CUMULATIVE)))
+@query("f5_skip_empty_kinds", O.feed_sql([O.MAX_DEMAND, O.CONSUMPTION, O.COINCIDENT, O.CUMULATIVE]))
 def _(spark, sf_dir):
     # Register meters hold no status and no interval; their kinds are left out of the union.
     documents = meter_documents(spark, sf_dir).filter(F.col("ConsumptionData").isNotNull())
     kinds = [k for k in K.KINDS if not (k.skipped_when_empty and translate(documents, k).isEmpty())]
-    return unified_feed(documents, kinds).select(*_SHORT_COLUMNS)
+    return unified_feed(documents, kinds)
 
 
 @query("f6_missing_family", O.select(O.EVENTS, {"irn": "event_id", "statuses": "(event_id + g) % 3"},
@@ -466,10 +460,9 @@ def _(spark, sf_dir):
 
 @query("c15_multiplier_text", " UNION ALL ".join(
     O.select(k.documents, {n: O.feed_columns(k)[n] for n in ("deviceId", "multiplier")}, k.joins, k.where)
-    for k in (O.MAX_DEMAND, O.LOAD_PROFILE, O.INTERVAL, O.RESET)))
+    for k in O.EXPECTED.values()))
 def _(spark, sf_dir):
-    kinds = [K.MAX_DEMAND, K.LOAD_PROFILE, K.INTERVAL, K.DEMAND_RESET]
-    return unified_feed(meter_documents(spark, sf_dir), kinds).select("deviceId", "multiplier")
+    return unified_feed(meter_documents(spark, sf_dir)).select("deviceId", "multiplier")
 
 
 _TEXT_COLUMNS = ("deviceId", "readingLocalTime", "channel", "intervalSize", "readingsValue", "eventsCode")
@@ -480,9 +473,10 @@ def _text_sql(kinds: list[O.Expected]) -> str:
                               for k in kinds)
 
 
-@query("c16_text_casts", _text_sql([O.INTERVAL]))
+@query("c16_text_casts", _text_sql(list(O.EXPECTED.values())))
 def _(spark, sf_dir):
-    return feed_types(translate(event_documents(spark, sf_dir), K.INTERVAL), K.INTERVAL).select(*_TEXT_COLUMNS)
+    documents = meter_documents(spark, sf_dir)
+    return union_all([feed_types(translate(documents, k), k).select(*_TEXT_COLUMNS) for k in K.KINDS])
 
 
 # --- Set operators -------------------------------------------------------------------------------
@@ -547,9 +541,10 @@ def _(spark, sf_dir):
     return fused_feed(meter_documents(spark, sf_dir))
 
 
-@query("k14_feed_fused_from_xml", O.feed_sql([O.INSTRUMENTATION, O.STATUSES, O.EVENT, O.INTERVAL]))
+@query("k14_feed_fused_from_xml", _FEED)
 def _(spark, sf_dir):
-    return fused_feed(read_documents(spark, _event_exports(spark, sf_dir), kinds=K.KINDS))
+    exports = exported(spark, sf_dir, "all", meter_documents)
+    return fused_feed(read_documents(spark, exports, kinds=K.KINDS))
 
 
 @query("job_export_to_feed_csv", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))

@@ -8,14 +8,14 @@ interval meters.  How many readings of a kind a document holds varies by row, fr
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metermill.schemas import QUALITY_FLAGS
 from metermill.sources.documents import write_documents
-from metermill.sources.sinks import shared_folder
+from metermill.sources.sinks import working_folder
 
 SOURCES = ("Visual", "Remote", "LocalRF", "Optical", "Manually Estimated", "LegacySystem", "Other", None)
 MEASURES = {"click": "Current", "view": "Voltage", "purchase": "Power Factor Angle", "signup": "Frequency"}
@@ -62,7 +62,6 @@ def _header(key: Column, meter: Column, time: Column, source: Column) -> list[Co
     ]
 
 
-@lru_cache(maxsize=8)
 def register_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     number, shipped = F.col("l_linenumber"), F.col("l_shipdate")
@@ -97,7 +96,6 @@ def register_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                lambda i: _unless((number + i) % 6 == 0, F.col("l_quantity") + i)).alias("CumulativeDemandData"))
 
 
-@lru_cache(maxsize=8)
 def reset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     key, customer, ordered = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
@@ -129,7 +127,6 @@ def reset_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _unless(F.col("o_orderstatus") == "F", _some(reversals, key % 2 + 1)).alias("ReverseEnergySummary"))
 
 
-@lru_cache(maxsize=8)
 def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     key, kind, value = F.col("event_id"), F.col("event_type"), F.col("value")
@@ -186,7 +183,6 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         intervals.alias("IntervalData"))
 
 
-@lru_cache(maxsize=8)
 def meter_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents.  A family that a meter does not have is NULL."""
     parts = [make(spark, sf_dir) for make in (register_documents, reset_documents, event_documents)]
@@ -200,7 +196,7 @@ def exported(spark: SparkSession, sf_dir: str, name: str, make) -> str:
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _exported:
-        path = shared_folder(spark, "/tmp")
+        path = working_folder(spark)
         blank = F.coalesce("Meter._SdpIdent", F.lit(""))
         write_documents(make(spark, sf_dir).withColumn("Meter", F.col("Meter").withField("_SdpIdent", blank)), path)
         _exported[key] = path

@@ -69,3 +69,35 @@ def test_staging_goes_under_the_configured_folder(spark, folder, tmp_path):
     written = translate_export(spark, folder, str(tmp_path), kinds=[kind_named("DemandReset")])
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert written.staged.startswith(configured or str(tmp_path / "_staging"))
+
+
+ROOT, END = "<AMRDEF>", "</AMRDEF>"
+ONE = ('<MeterReadings Irn="{0}" CollectionTime="2020-01-01 00:00:00"><Meter MeterIrn="{0}"/>'
+       '<DemandReset TimeStamp="2020-01-01 00:00:00"/><DemandReset TimeStamp="2020-01-02 00:00:00"/>')
+CLOSE = "</MeterReadings>"
+
+
+@pytest.mark.parametrize("text", [
+    ROOT + ONE.format(1) + CLOSE + ONE.format(2),  # between readings
+    ROOT + ONE.format(1) + CLOSE + ONE.format(2)[:-12],  # inside a reading
+    ROOT + ONE.format(1) + CLOSE,  # between documents
+    ROOT + ONE.format(1) + ONE.format(2) + CLOSE + END,  # not closed before the next
+    ROOT + ONE.format(1) + CLOSE + ONE.format(2) + END,  # not closed before the root
+])
+def test_incomplete_exports_fail_before_any_output(spark, tmp_path, text):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(ROOT + ONE.format(3) + CLOSE + END)
+    (tmp_path / "in" / "b.xml").write_text(text)
+    with pytest.raises(Exception, match="cut-off|not closed|MALFORMED|malformed"):
+        translate_export(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "union").exists()
+
+
+def test_a_second_run_leaves_nothing_of_the_first(spark, folder, tmp_path):
+    translate_export(spark, folder, str(tmp_path / "out"))
+    assert (tmp_path / "out" / "StatusReadings").exists()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(ROOT + ONE.format(3) + CLOSE + END)
+    translate_export(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert not (tmp_path / "out" / "StatusReadings").exists()
+    assert not (tmp_path / "out" / "IntervalDataReadings").exists()

@@ -15,7 +15,7 @@ def duck():
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys() <= contract.oracle_sql().keys() <= contract.queries().keys()
     assert contract.entry(spark).limit(1).count() == 1
 
 

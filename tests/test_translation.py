@@ -59,7 +59,7 @@ def test_max_demand(documents):
         **dict.fromkeys(CANONICAL_COLUMNS, ""), "servicePointId": "point A", "readingType": "Registros",
         "variableId": "kW Delivered Total", "deviceId": 101, "meteringType": "Main",
         "readingDateSource": dt.datetime(2020, 1, 2, 3, 4, 5), "readingLocalTime": dt.datetime(2020, 1, 2, 3, 4, 5),
-        "unitOfMeasure": "kW", "ke": 1, "readingsValue": 92.176, "primarySource": "Remoto", "owner": "PRIMEREAD",
+        "unitOfMeasure": "kW", "ke": 1, "readingsValue": 61.625, "primarySource": "Remoto", "owner": "PRIMEREAD",
         "guidFile": "Nombre del archivo", "estatus": "Activo"}
     tier = one(rows(documents, "MaxDemandData"), variableId="kW Delivered TierB")
     assert tier.readingLocalTime == dt.datetime(2020, 1, 1, 10) and tier.ke is None
@@ -68,7 +68,7 @@ def test_max_demand(documents):
 def test_consumption_has_no_time_fallback_and_renames_units_last(documents):
     found = rows(documents, "ConsumptionData")
     degree = one(found, unitOfMeasure="°")
-    assert (degree.variableId, degree.readingLocalTime, degree.readingsValue) == ("Degree Received TierA", None, 144208)
+    assert (degree.variableId, degree.readingLocalTime, degree.readingsValue) == ("Degree Received TierA", None, 530117)
     assert one(found, unitOfMeasure="kWh").variableId is None  # blank direction
     assert degree.owner == degree.guidFile == "sacar del Path"
 
@@ -100,18 +100,18 @@ def test_load_profile_and_reverse_energy_have_blank_times(documents):
     profile, = rows(documents, "LoadProfileSummary")
     reverse, = rows(documents, "ReverseEnergySummary")
     assert profile.readingLocalTime == reverse.readingLocalTime == reverse.readingDateSource == ""
-    assert (profile.ke, profile.readingsValue, reverse.readingsValue) == (0.01, 11461.6, 3)
+    assert (profile.ke, profile.readingsValue, reverse.readingsValue) == (0.01, 8093.4, 3)
 
 
 def test_outages_report_the_current_value_twice(documents):
     found = {(r.readingLocalTime, r.readingsValue) for r in rows(documents, "OutageCountSummary")}
     # Of a child that the schema has once, the last is kept.
-    assert found == {(dt.datetime(2020, 1, 1, 2), 48), (dt.datetime(2019, 1, 1, 2), 48)}
+    assert found == {(dt.datetime(2020, 1, 1, 2), 35), (dt.datetime(2019, 1, 1, 2), 35)}
 
 
 def test_statuses(documents):
     found = {(r.variableId, r.readingsValue, r.eventsCode) for r in rows(documents, "Statuses")}
-    assert found == {("Tamper Alert Tilt", "0", 1), ("Service Count & more", "1482", 3), ("Service Unknown", None, 4),
+    assert found == {("Tamper Alert Tilt", "0", 1), ("Service Count & more", "2217", 3), ("Service Unknown", None, 4),
                      (None, "9", 5)}
     sample = one(rows(documents, "Statuses"), eventsCode=1)
     assert sample.readingLocalTime == dt.datetime(2020, 1, 2, 3, 4, 7)
@@ -120,7 +120,7 @@ def test_statuses(documents):
 
 def test_events(documents):
     found = {(r.variableId, r.readingLocalTime, r.readingsValue) for r in rows(documents, "EventData")}
-    assert found == {("a", dt.datetime(2020, 1, 1, 6), -24), ("b", dt.datetime(2020, 1, 1, 6), None),
+    assert found == {("a", dt.datetime(2020, 1, 1, 6), -17), ("b", dt.datetime(2020, 1, 1, 6), None),
                      ("c", dt.datetime(2020, 1, 1, 7), 3)}
 
 
@@ -149,9 +149,9 @@ def test_feed(documents):
     found = feed.collect()
     values = {(r.variableId, r.readingsValue) for r in found}
     # Whole-number registers become doubles in the feed; other whole numbers do not.
-    assert {("Demand Reset", "14.0"), ("Degree Received TierA", "144208.0"), ("Outage count", "48"),
-            ("Reverse energy summary", "3"), ("a", "-24"), ("Demand Reset", "0")} <= values
-    assert one(found, variableId="kW Delivered Total", readingsValue="92.176").multiplier == (
+    assert {("Demand Reset", "14.0"), ("Degree Received TierA", "530117.0"), ("Outage count", "35"),
+            ("Reverse energy summary", "3"), ("a", "-17"), ("Demand Reset", "0")} <= values
+    assert one(found, variableId="kW Delivered Total", readingsValue="61.625").multiplier == (
         "'MultiplierValues':{ 'ct': '', 'pt':'', 'ke':'1', 'sf': ''}")
     assert one(found, variableId="kW Delivered TierB").multiplier is None
     assert one(found, variableId="kWh Delivered", readingType="Registros").multiplier == (
