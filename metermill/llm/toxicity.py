@@ -26,7 +26,8 @@ GRADES = 4
 class Toxicity:
     training_rows: int = 20_000  #: bound of the labelled sample; everything else covers all documents
     least_documents: int = 4  #: of the sample, in which a feature occurs
-    features: int = 512  #: those whose log odds differ most surely
+    features: int = 512  #: those whose log odds differ most surely,
+    least_sure: float = 2.5  #: by so many standard errors at least
     penalty: float = 2e-5
     rounds: int = 500
     reject_from: float = 0.5  #: P(grade > 0) from which a document counts as toxic
@@ -91,6 +92,7 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, by
               .groupBy("word").agg(F.count("*").alias("found"), F.sum("label").alias("toxic"))
               .filter(F.col("found") >= by.least_documents)
               .select("word", (odds / F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))).alias("sure"))
+              .filter(F.abs("sure") >= by.least_sure)
               .orderBy(F.desc(F.abs("sure")), "word").limit(by.features).collect())
     words = np.array([row["word"] for row in chosen], np.int64).view(np.uint64)
     order = np.argsort(words)
