@@ -196,11 +196,11 @@ def _(spark, sf_dir):
     return translate(meter_documents(spark, sf_dir), K.MAX_DEMAND).select("deviceId", "readingLocalTime", "readingsValue")
 
 
-@query("p8_canonical_select", " UNION ALL ".join(O.kind_sql(k) for k in (O.MAX_DEMAND, O.COINCIDENT, O.CUMULATIVE, O.LOAD_PROFILE)))
+@query("p8_canonical_select", " UNION ALL ".join(O.kind_sql(k) for k in (O.MAX_DEMAND, O.CUMULATIVE)))
 def _(spark, sf_dir):
     documents = meter_documents(spark, sf_dir)
     return union_all([translate(documents, k) for k in
-                      (K.MAX_DEMAND, K.COINCIDENT_DEMAND, K.CUMULATIVE_DEMAND, K.LOAD_PROFILE)])
+                      (K.MAX_DEMAND, K.CUMULATIVE_DEMAND)])
 
 
 @query("p9_column_overwrite", O.select(O.LINES, {"irn": "l_orderkey", "unit": O.CONSUMED.format("°")}, O.LINE_JOINS))
