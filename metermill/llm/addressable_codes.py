@@ -28,6 +28,8 @@ from .ranges import Ranges
 #: Ids after which a file is closed, at the next document.
 FILE_IDS = 2_000_000
 STEP = 512
+#: Pieces that a worker remembers.
+REMEMBERED = 500_000
 
 
 class Codes:
@@ -136,7 +138,7 @@ def library_of(raw: bytes) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
-    return Encoder(Library(raw))
+    return Encoder(Library(raw), REMEMBERED, decimal=False)
 
 
 def ids_of(encoder: Encoder, column: pa.Array) -> Iterator[np.ndarray]:

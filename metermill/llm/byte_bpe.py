@@ -177,19 +177,20 @@ class Vocabulary:
 class Memory:
     """Pieces encoded so far, by their 64-bit hash."""
 
-    def __init__(self) -> None:
+    def __init__(self, size: int, decimal: bool) -> None:
         self.slots: dict[int, int] = {}
         self.ids = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(REMEMBERED, np.int64)
-        self.counts = np.zeros(REMEMBERED, np.int64)
-        self.texts = np.empty(REMEMBERED, object)  #: the ids in decimal, joined by commas
+        self.starts = np.zeros(size, np.int64)
+        self.counts = np.zeros(size, np.int64)
+        self.texts = np.empty(size if decimal else 0, object)  #: the ids in decimal, joined by commas
+        self.decimal = decimal
         self.used = 0
 
     def add(self, hashes: list[int], encoded: list[np.ndarray]) -> None:
         if len(self.slots) + len(hashes) > len(self.starts):
             more = len(self.slots) + len(hashes) - len(self.starts)
             self.starts, self.counts = (np.concatenate([a, np.zeros(more, np.int64)]) for a in (self.starts, self.counts))
-            self.texts = np.concatenate([self.texts, np.empty(more, object)])
+            self.texts = np.concatenate([self.texts, np.empty(more if self.decimal else 0, object)])
         joined = np.concatenate(encoded)
         if self.used + len(joined) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(joined)), np.int32)])
@@ -197,7 +198,8 @@ class Memory:
         first = len(self.slots)
         for slot, (key, ids) in enumerate(zip(hashes, encoded, strict=True), first):
             self.slots[key] = slot
-            self.texts[slot] = ",".join(map(str, ids.tolist())).encode()
+            if self.decimal:
+                self.texts[slot] = ",".join(map(str, ids.tolist())).encode()
         counts = np.array([len(ids) for ids in encoded])
         self.counts[first:first + len(counts)] = counts
         self.starts[first:first + len(counts)] = self.used + np.cumsum(counts) - counts
@@ -205,9 +207,9 @@ class Memory:
 
 
 class Encoder:
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.memory = Memory()
+    def __init__(self, vocabulary: Vocabulary, remembered: int = REMEMBERED, decimal: bool = True):
+        self.vocabulary, self.remembered, self.decimal = vocabulary, remembered, decimal
+        self.memory = Memory(remembered, decimal)
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The slot in memory of each piece, the bounds of the texts in pieces, and those in ids."""
@@ -217,8 +219,8 @@ class Encoder:
             return np.zeros(0, np.int64), by_text, np.zeros(len(bounds), np.int64)
         ends = np.append(begins[1:], len(data))
         hashes, first, inverse = np.unique(segment_hashes(data, ends - begins), return_index=True, return_inverse=True)
-        if len(self.memory.slots) + len(hashes) > REMEMBERED and self.memory.slots:
-            self.memory = Memory()
+        if len(self.memory.slots) + len(hashes) > self.remembered and self.memory.slots:
+            self.memory = Memory(self.remembered, self.decimal)
         memory = self.memory
         keys = hashes.tolist()
         new = [at for at, key in enumerate(keys) if key not in memory.slots]
