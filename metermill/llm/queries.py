@@ -69,4 +69,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_near_duplicates, op2_warc, op3_fingerprints, op4_decontamination, op5_quality, op6_token_files, op7_toxicity,
         op8_byte_bpe, op9_personal_data, op10_shared_passages)}
 
-ORACLE: dict[str, str] = {}
+_WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+ORACLE: dict[str, str] = {"op4_decontamination": f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i + 1 : i + 10], ' ') AS s
+        FROM (SELECT item, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS i FROM iw WHERE len(w) > 0)),
+place AS (SELECT doc_id, p, n, array_to_string(w[p + 1 : p + n], ' ') AS s
+          FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM dw), (SELECT DISTINCT n FROM win)
+          WHERE p + n <= len(w)),
+occ AS (SELECT doc_id, p, n, item FROM place JOIN win USING (s, n)),
+hit AS (SELECT doc_id, count(DISTINCT q) AS h FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM occ) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS k, sha256(string_agg(item, ',' ORDER BY item)) AS z
+          FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id)
+SELECT dw.doc_id, len(w) AS n_words, coalesce(h, 0) AS n_hit, coalesce(k, 0) AS n_items,
+       coalesce(z, sha256('')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""}
