@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metermill.functions import scalars as S
@@ -50,80 +50,126 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # --- Sources and sinks ---------------------------------------------------------------------------
 
-_EVENT_SCAN = O.select(O.EVENTS, {
-    "irn": "event_id", "meter": "user_id", "source": O.EVENTS.source, "collected": "read_at",
-    "measures": "event_id % 3 + 1", "event_groups": "event_id % 3", "channels": "event_id % 2 + 1"})
+def _scan_sql(documents: O.Documents) -> dict[str, str]:
+    nested = {"buckets": "''", "consumed": "''", "counts": "''", "channels": "''", "measures": "0",
+              "event_groups": "0", "readings": "0"}
+    if documents is O.LINES:
+        value = "CAST(CAST(l_quantity AS BIGINT) * {} AS VARCHAR)".format
+        nested |= {"buckets": O.chosen("l_linenumber % 4", ["", "Tier1", "Tier1,Tier2", "Tier1,Tier2,Tier3"]),
+                   "consumed": f"CASE l_linenumber % 4 WHEN 0 THEN '' WHEN 1 THEN {value(1)} "
+                               f"WHEN 2 THEN {value(1)} || ',' || {value(2)} "
+                               f"ELSE {value(1)} || ',' || {value(2)} || ',' || {value(3)} END"}
+    elif documents is O.ORDERS:
+        nested |= {"counts": _COUNTS}
+    else:
+        nested |= {"channels": O.chosen("event_id % 2", ["1", "1,2"]), "measures": "event_id % 3 + 1",
+                   "event_groups": "event_id % 3",
+                   "readings": "(event_id + 1) % 3 + 1 + CASE WHEN event_id % 2 = 1 THEN (event_id + 2) % 3 + 1 ELSE 0 END"}
+    nested |= {n: f"CAST({nested[n]} AS INTEGER)" for n in ("measures", "event_groups", "readings")}
+    return {"irn": documents.key, "meter": documents.meter, "source": documents.source, "collected": documents.time, **nested}
+
+
+_COUNTS = ("CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN CAST(o_orderkey % 100 + 1 AS VARCHAR) "
+           "ELSE (o_orderkey % 100 + 1) || ',' || (o_orderkey % 100 + 2) END")
+_SCAN = O.documents_sql(_scan_sql)
+
+
+def _scan(documents: DataFrame) -> DataFrame:
+    def joined(path: str) -> Column:
+        return F.coalesce(F.array_join(F.col(path).cast("array<string>"), ","), F.lit(""))
+
+    def size(array: Column) -> Column:
+        return F.when(array.isNull(), 0).otherwise(F.size(array))
 
-
-def _event_scan(documents: DataFrame) -> DataFrame:
     return documents.select(
         F.col("_Irn").alias("irn"), F.col("Meter._MeterIrn").alias("meter"), F.col("_Source").alias("source"),
-        F.col("_CollectionTime").alias("collected"), F.size("InstrumentationValue").alias("measures"),
-        F.coalesce(F.size("EventData"), F.lit(0)).alias("event_groups"), F.size("IntervalData").alias("channels"))
+        F.col("_CollectionTime").alias("collected"), joined("ConsumptionData.ConsumptionSpec._TouBucket").alias("buckets"),
+        joined("ConsumptionData.Reading._Value").alias("consumed"), joined("DemandResetCount._Count").alias("counts"),
+        joined("IntervalData.IntervalSpec._Channel").alias("channels"),
+        size(F.col("InstrumentationValue")).alias("measures"), size(F.col("EventData")).alias("event_groups"),
+        size(F.flatten("IntervalData.Reading")).alias("readings"))
 
 
-def _event_exports(spark: SparkSession, sf_dir: str) -> str:
-    return exported(spark, sf_dir, "events", event_documents)
+def _exports(spark: SparkSession, sf_dir: str) -> str:
+    return exported(spark, sf_dir, "all", meter_documents)
 
 
-@query("s1_xml_scan", _EVENT_SCAN)
+@query("s1_xml_scan", _SCAN)
 def _(spark, sf_dir):
-    return _event_scan(read_documents(spark, _event_exports(spark, sf_dir)))
+    return _scan(read_documents(spark, _exports(spark, sf_dir)))
 
 
-@query("s1_xml_scan_whole_files", _EVENT_SCAN)
+@query("s1_xml_scan_whole_files", _SCAN)
 def _(spark, sf_dir):
-    return _event_scan(read_documents(spark, _event_exports(spark, sf_dir), split_files=False))
+    return _scan(read_documents(spark, _exports(spark, sf_dir), split_files=False))
 
 
-@query("s1_xml_scan_lenient", _EVENT_SCAN)
+@query("s1_xml_scan_lenient", _SCAN)
 def _(spark, sf_dir):
-    return _event_scan(read_documents(spark, _event_exports(spark, sf_dir), lenient=True))
+    return _scan(read_documents(spark, _exports(spark, sf_dir), lenient=True))
 
 
-@query("s2_blank_attribute", O.select(O.EVENTS, {
-    "irn": "event_id", "sdp": "CASE WHEN user_id % 3 <> 0 THEN 'SDP' || user_id END", "missing": "user_id % 3 = 0"}))
+@query("s2_blank_attribute", O.documents_sql(lambda d: {
+    "irn": d.key, "sdp": f"CASE WHEN {d.meter} % 3 <> 0 THEN 'SDP' || {d.meter} END", "missing": f"{d.meter} % 3 = 0"}))
 def _(spark, sf_dir):
     sdp = F.col("Meter._SdpIdent")
-    return read_documents(spark, _event_exports(spark, sf_dir)).select(
+    return read_documents(spark, _exports(spark, sf_dir)).select(
         F.col("_Irn").alias("irn"), sdp.alias("sdp"), sdp.isNull().alias("missing"))
 
 
-@query("s3_schema_load", _EVENT_SCAN)
+@query("s3_schema_load", _SCAN)
 def _(spark, sf_dir):
     # A schema file encoded twice: a JSON string that holds the schema's JSON.
     path = _folder(spark)
     encoded = json.dumps(document_schema().json())
     spark.createDataFrame([(encoded,)], "value string").coalesce(1).write.text(path)
-    return _event_scan(read_documents(spark, _event_exports(spark, sf_dir), load_schema(spark, path)))
+    return _scan(read_documents(spark, _exports(spark, sf_dir), load_schema(spark, path)))
 
 
-@query("s4_schema_inference", _EVENT_SCAN)
+@query("s4_schema_inference", _SCAN)
 def _(spark, sf_dir):
-    exports = _event_exports(spark, sf_dir)
-    return _event_scan(read_documents(spark, exports, infer_schema(spark, exports)))
+    exports = _exports(spark, sf_dir)
+    return _scan(read_documents(spark, exports, infer_schema(spark, exports)))
 
 
-@query("s5_schema_export", _EVENT_SCAN)
+@query("s5_schema_export", _SCAN)
 def _(spark, sf_dir):
     path = _folder(spark)
     export_schema(spark, document_schema(), path)
-    return _event_scan(read_documents(spark, _event_exports(spark, sf_dir), load_schema(spark, path)))
+    return _scan(read_documents(spark, _exports(spark, sf_dir), load_schema(spark, path)))
+
+
+def _kind_csv(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
+    """A kind's CSV directory, read back with the types that were written."""
+    return spark.read.option("header", True).schema(written.schema).csv(path)
+
+
+def _blank_as_null(columns: dict[str, str]) -> dict[str, str]:
+    return {n: s if n == "deviceId" else f"NULLIF(CAST({s} AS VARCHAR), '')" for n, s in columns.items()}
+
 
+def _kind_csv_sql(name: str, kind: O.Expected) -> str:
+    return O.select(kind.documents, {"kind": f"'{name}'", **_blank_as_null(O.columns_of(kind))}, kind.joins, kind.where)
 
-_CSV_COLUMNS = ("servicePointId", "deviceId", "variableId", "readingLocalTime", "ke", "readingsValue",
-                "primarySource", "owner", "agentId")
-_MAX_DEMAND_COLUMNS = O.columns_of(O.MAX_DEMAND)
 
+def _tagged(kind: str, readings: DataFrame) -> DataFrame:
+    texts = [F.col(n) if n == "deviceId" else F.col(n).cast("string").alias(n) for n in readings.columns]
+    return readings.select(F.lit(kind).alias("kind"), *texts)
 
-@query("s6_csv_kind", O.select(O.LINES, {
-    n: "CAST(NULL AS VARCHAR)" if n == "agentId" else _MAX_DEMAND_COLUMNS[n] for n in _CSV_COLUMNS},
-    O.MAX_DEMAND.joins, O.MAX_DEMAND.where))
+
+@query("s6_csv_kind", _kind_csv_sql("MaxDemandData", O.MAX_DEMAND))
 def _(spark, sf_dir):
-    path = _folder(spark)
-    write_csv(translate(register_documents(spark, sf_dir), K.MAX_DEMAND), path)
-    types = {"deviceId": "long", "readingLocalTime": "timestamp", "ke": "long", "readingsValue": "double"}
-    return _read_csv(spark, path).select(*[F.col(n).cast(types.get(n, "string")).alias(n) for n in _CSV_COLUMNS])
+    path, readings = _folder(spark), translate(register_documents(spark, sf_dir), K.MAX_DEMAND)
+    write_csv(readings, path)
+    return _tagged("MaxDemandData", _kind_csv(spark, path, readings))
+
+
+@query("job_export_to_kind_csv", " UNION ALL ".join(
+    _kind_csv_sql(name, kind) for name, kind in O.EXPECTED.items() if K.kind_named(name).written))
+def _(spark, sf_dir):
+    written, documents = translate_export(spark, _exports(spark, sf_dir), _folder(spark)), meter_documents(spark, sf_dir)
+    return union_all([_tagged(name, _kind_csv(spark, path, translate(documents, K.kind_named(name))))
+                      for name, path in written.kinds.items()])
 
 
 @query("s7_csv_feed", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))
@@ -135,7 +181,7 @@ def _(spark, sf_dir):
 
 @query("s8_event_sink", O.kind_sql(O.EVENT, ("servicePointId", "deviceId", "variableId", "readingsValue", "owner")))
 def _(spark, sf_dir):
-    written = translate_export(spark, _event_exports(spark, sf_dir), _folder(spark), kinds=[K.EVENT],
+    written = translate_export(spark, _exports(spark, sf_dir), _folder(spark), kinds=[K.EVENT],
                                write_events=True)
     return _read_csv(spark, written.kinds["EventData"]).select(
         "servicePointId", F.col("deviceId").cast("long"), "variableId", F.col("readingsValue").cast("long"), "owner")
@@ -160,8 +206,7 @@ def _(spark, sf_dir):
 
 @query("p3_array_field", O.select(O.ORDERS, {
     "irn": "o_orderkey",
-    "counts": "CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN CAST(o_orderkey % 100 + 1 AS VARCHAR) "
-              "ELSE (o_orderkey % 100 + 1) || ',' || (o_orderkey % 100 + 2) END"}))
+    "counts": _COUNTS}))
 def _(spark, sf_dir):
     counts = F.col("DemandResetCount._Count").cast("array<string>")
     return reset_documents(spark, sf_dir).select(F.col("_Irn").alias("irn"), F.array_join(counts, ",").alias("counts"))
@@ -543,14 +588,12 @@ def _(spark, sf_dir):
 
 @query("k14_feed_fused_from_xml", _FEED)
 def _(spark, sf_dir):
-    exports = exported(spark, sf_dir, "all", meter_documents)
-    return fused_feed(read_documents(spark, exports, kinds=K.KINDS))
+    return fused_feed(read_documents(spark, _exports(spark, sf_dir), kinds=K.KINDS))
 
 
 @query("job_export_to_feed_csv", O.feed_sql(list(O.EXPECTED.values()), blank_as_null=True))
 def _(spark, sf_dir):
-    exports = exported(spark, sf_dir, "all", meter_documents)
-    written = translate_export(spark, exports, _folder(spark))
+    written = translate_export(spark, _exports(spark, sf_dir), _folder(spark))
     return _read_csv(spark, written.feed).withColumn("deviceId", F.col("deviceId").cast("long"))
 
 
