@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from metermill.llm import toxicity
 from metermill.llm.byte_bpe import round_trip
 from metermill.llm.common import small_batches, staged, table
-from metermill.llm.decontamination import contamination
+from metermill.llm.decontamination import without_contaminated
 from metermill.llm.near_duplicates import NearDuplicates, near_duplicates
 from metermill.llm.personal_data import masked
 
@@ -33,8 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which a window of a benchmark item occurs."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,6 +94,20 @@ def occurrences(documents: DataFrame, windows: DataFrame, by: Decontamination) -
     return found
 
 
+def without_contaminated(documents: DataFrame, items: DataFrame,
+                         by: Decontamination = Decontamination()) -> DataFrame:
+    """The documents, with all their columns, in which no window of the items occurs.
+
+    Rows are told apart by doc_id and text, so a null or repeated doc_id is no shelter for, or blame on, another text.
+    """
+    found = occurrences(documents.select("doc_id", "text"), staged(windows_of(items, by), "windows"), by)
+    if found is None:
+        return documents
+    hit = staged(found.select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_text")).distinct(), "contaminated")
+    return documents.join(hit, documents["doc_id"].eqNullSafe(hit["of"])
+                          & (F.xxhash64(documents["text"]) == hit["of_text"]), "left_anti")
+
+
 def contamination(documents: DataFrame, items: DataFrame, by: Decontamination = Decontamination()) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of every row of documents (doc_id, text), held
     against items (item_id, text).

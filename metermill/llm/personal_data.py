@@ -73,7 +73,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not DIGIT.search(text):
         return found
     found += [(1, *match.span()) for match in ADDRESS.finditer(text)
-              if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match.group().split("."))]
+              if all(len(part) <= 3 and int(part or 0) <= 255
+                     for part in (one.lstrip("0") for one in match.group().split(".")))]
     for match in CARD.finditer(text):
         digits = NO_DIGIT.sub("", match.group())
         if 13 <= len(digits) <= 19 and luhn(digits):
@@ -239,7 +240,7 @@ def masked(documents: DataFrame, by: PersonalData = PersonalData()) -> DataFrame
 
     rows = documents.join(found, documents["doc_id"].eqNullSafe(found["of"])
                           & (F.xxhash64(documents["text"]) == found["of_text"]), "left")
-    new = F.when(F.col("spans").isNull(), documents["text"]).otherwise(without(documents["text"], F.col("spans")))
+    new = F.when(found["spans"].isNull(), documents["text"]).otherwise(without(documents["text"], found["spans"]))
     rows = rows.withColumn("~new", new)
     sizes = {"n_chars": F.char_length("~new").cast(documents.schema["n_chars"].dataType).alias("n_chars")
              } if "n_chars" in documents.columns else {}

@@ -15,7 +15,7 @@ from metermill.llm import quality, toxicity
 from metermill.llm.addressable_codes import Codes, token_files
 from metermill.llm.byte_bpe import decoded, encoded, read_ranks, round_trip
 from metermill.llm.components import components
-from metermill.llm.decontamination import contamination
+from metermill.llm.decontamination import contamination, without_contaminated
 from metermill.llm.near_duplicates import NearDuplicates, near_duplicates
 from metermill.llm.passages import shared_passages
 from metermill.llm.personal_data import base_spans, masked, personal_data
@@ -143,6 +143,19 @@ def test_contamination(spark, documents, nothing):
     assert contamination(documents, items.limit(0)).filter("contaminated").isEmpty()
 
 
+def test_contaminated_rows_go_by_id_and_text(spark):
+    rows = [(1, PASSAGE), (1, prose(8)), (None, PASSAGE), (None, prose(9)), (2, None)]
+    docs = spark.createDataFrame([(*row, "x", "y", 5) for row in rows],
+                                 "doc_id long, text string, spans string, of string, of_text int")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
+    kept = without_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, ((row.doc_id, row.text) for row in kept.collect()))) == sorted(
+        map(repr, (row for row in rows if row[1] != PASSAGE)))
+    assert without_contaminated(docs, items.limit(0)).count() == len(rows)
+    assert masked(docs).columns == docs.columns and masked(docs).count() == len(rows)
+
+
 def test_token_files(documents, nothing):
     from tokenizers import Tokenizer
 
@@ -188,6 +201,7 @@ def test_base_spans():
     assert found == [(0, "a.b@c.example.org"), (1, "10.0.0.255"), (1, "1.2.3.4"), (1, "5.6.7.8"),
                      (2, "4111 1111 1111 1111"), (3, "+1 (202) 555-0123")]
     assert base_spans("9" * 200_000 + "@" + "a" * 200_000) == []
+    assert base_spans("0" * 5000 + "1.2.3.4") == [(1, 0, 5007)] and base_spans("1." * 3 + "9" * 5000) == []
 
 
 def test_personal_data(documents, nothing):
