@@ -101,3 +101,19 @@ def test_a_second_run_leaves_nothing_of_the_first(spark, folder, tmp_path):
     translate_export(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert not (tmp_path / "out" / "StatusReadings").exists()
     assert not (tmp_path / "out" / "IntervalDataReadings").exists()
+
+
+@pytest.mark.parametrize("inside", ["<DemandReset TimeStamp='2020-01-01 00:00:00'><A></DemandReset>", "<DemandReset TimeStamp=5/>",
+                                    '<DemandReset TimeStamp="never"/>'])
+def test_malformed_documents_are_put_aside(spark, tmp_path, inside):
+    bad = '<MeterReadings Irn="2"><Meter MeterIrn="2"/>' + inside + CLOSE
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(ROOT + ONE.format(1) + CLOSE + bad + ONE.format(3) + CLOSE + END)
+    (tmp_path / "in" / "b.xml").write_text(ROOT + ONE.format(4) + CLOSE + END)
+    with pytest.raises(Exception):
+        translate_export(spark, str(tmp_path / "in"), str(tmp_path / "failed"))
+    written = translate_export(spark, str(tmp_path / "in"), str(tmp_path / "out"), malformed_aside=True)
+    rows, _ = read_csv(tmp_path / "out" / "union")
+    assert sorted(row["deviceId"] for row in rows) == ["1", "1", "3", "3", "4", "4"]
+    (aside,) = spark.read.json(written.malformed).collect()
+    assert written.malformed_documents == 1 and aside._FileName == "a.xml" and inside in aside._Malformed
