@@ -230,6 +230,28 @@ def test_shared_passages(documents, nothing):
     assert shared_passages(nothing).isEmpty()
 
 
+def test_passages_whose_parts_smaller_documents_hold(spark):
+    passage = prose(900, 52).split()
+    texts = [passage[:38], passage[14:], passage, passage, prose(901, 80).split(), passage]
+    rows = [(n, f"{prose(910 + n, 30)} {' '.join(text)} {prose(930 + n, 30)}") for n, text in enumerate(texts)]
+    found = shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(row.doc_id, row.other_id) for row in found} == {(3, 2), (5, 2)}
+    assert all(row.begin <= 30 and row.end >= 82 for row in found)
+
+
+def test_edited_passages(spark):
+    """One word replaced in every 5 to 15: 80 to 93 % agree."""
+    rows, wanted = [], set()
+    for n, every in enumerate((5, 6, 7, 8, 10, 12, 15) * 6):
+        words = prose(1000 + n, 62).split()
+        edited = [f"new{n}x{at}" if at % every == every - 1 else word for at, word in enumerate(words)]
+        rows += [(2 * n, " ".join(words)), (2 * n + 1, f"{prose(2000 + n, 40)} {' '.join(edited)} {prose(3000 + n, 40)}")]
+        wanted.add((2 * n + 1, 2 * n))
+    rows += [(500, "a " + "de " * 5 + "b " + "de " * 70 + "c"), (501, "d e f g " + "de " * 5 + "h " + "de " * 60 + "i")]
+    found = shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(row.doc_id, row.other_id) for row in found} == wanted | {(501, 500)}
+
+
 def test_models(spark, documents, nothing):
     rows = [(n, prose(n, 40) + (" awful vile" if n % 4 == 0 else "") + (" ###!!!$$$" * 9 if n % 5 == 0 else ""))
             for n in range(300)] + [(None, None), (1000, ""), (1000, "")]
