@@ -33,7 +33,7 @@ TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 INNER = re.compile(r"[^\"'<>()\[\]{},;:=|!*#$&]+")
 
 SPANS = "array<struct<kind int, begin int, end int>>"
-TOKENS = "array<struct<begin int, end int, kind int, digits int, instance string, patterns array<string>>>"
+TOKENS = "array<struct<begin int, end int, kind int, digits int, named boolean, instance string, patterns array<string>>>"
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,8 @@ class PersonalData:
     rounds: int = 3
     surely: float = 0.8  #: least score of a pattern, a lower confidence bound, and of an instance
     confidence: float = 1.96  #: standard deviations of that bound
-    least_length: int = 6  #: of a discovered identifier,
-    least_digits: int = 4  #: and its digits
+    least_length: int = 6  #: of a discovered identifier
+    least_digits: int = 4  #: of one, unless it follows an e-mail's pattern and has a letter or an at-sign
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -91,7 +91,7 @@ def lexical(word: str) -> str:
 
 
 def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
-    """(begin, end, kind or -1, digits, instance, patterns) of the tokens and of the base entities."""
+    """(begin, end, kind or -1, digits, named, instance, patterns) of the tokens and of the base entities."""
     taken = sorted((begin, end, kind) for kind, begin, end in base)
     things, at = [], 0
     for match in TOKEN.finditer(text):
@@ -111,7 +111,8 @@ def tokens_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
         patterns = ([f"1 {near[-1]}"] if near else []) + ([f"2 {near[0]} {near[1]}"] if len(near) > 1 else [])
         thing = text[begin:end]
         digits = len(NO_DIGIT.sub("", thing))
-        found.append((begin, end, kind, digits, hashlib.sha256(thing.lower().encode()).hexdigest()[:32], patterns))
+        named = "@" in thing or any(map(str.isalpha, thing))
+        found.append((begin, end, kind, digits, named, hashlib.sha256(thing.lower().encode()).hexdigest()[:32], patterns))
     return found
 
 
@@ -136,13 +137,13 @@ def extracted(documents: DataFrame) -> DataFrame:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.int32()), ("begin", pa.int32()), ("end", pa.int32())]))
         token = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("kind", pa.int32()),
-                                    ("digits", pa.int32()), ("instance", pa.string()), ("patterns", pa.list_(pa.string()))]))
+                                    ("digits", pa.int32()), ("named", pa.bool_()), ("instance", pa.string()), ("patterns", pa.list_(pa.string()))]))
         for batch in blocks(batches):
             base, tokens = [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text or "")
                 base.append([dict(zip(("kind", "begin", "end"), one, strict=True)) for one in spans])
-                names = ("begin", "end", "kind", "digits", "instance", "patterns")
+                names = ("begin", "end", "kind", "digits", "named", "instance", "patterns")
                 tokens.append([dict(zip(names, one, strict=True)) for one in tokens_of(text or "", spans)])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(base, span),
                                               pa.array(tokens, token)], ["doc_id", "text_key", "base", "tokens"])
@@ -184,12 +185,14 @@ def all_spans(documents: DataFrame, by: PersonalData = PersonalData()) -> DataFr
     in code points; spans holds base and what the sure patterns add outside of it."""
     found = staged(extracted(documents), "tokens")
     each = found.select("doc_id", "text_key", F.explode("tokens").alias("token")).select(
-        "doc_id", "text_key", "token.begin", "token.end", "token.kind", "token.digits", "token.instance",
+        "doc_id", "text_key", "token.begin", "token.end", "token.kind", "token.digits", "token.named", "token.instance",
         F.explode("token.patterns").alias("pattern"))
     edges = staged(each.select("pattern", "instance", "kind").distinct(), "edges")
     patterns, known = sure_patterns(edges, by)
     new = (each.filter("kind < 0").filter(F.col("end") - F.col("begin") >= by.least_length)
-           .filter(F.col("digits") >= by.least_digits).drop("kind").join(patterns, "pattern").join(known.select("instance"), "instance")
+           .drop("kind").join(patterns, "pattern")
+           .filter((F.col("digits") >= by.least_digits) | (F.col("kind") == KINDS.index("email")) & F.col("named"))
+           .join(known.select("instance"), "instance")
            .groupBy("doc_id", "text_key", "begin", "end")
            .agg(F.max(F.struct("score", (-F.col("kind")).alias("kind"))).alias("best"))
            .select("doc_id", "text_key", (-F.col("best.kind")).alias("kind"), "begin", "end"))

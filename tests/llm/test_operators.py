@@ -220,6 +220,19 @@ def test_contexts_discover_identifiers(spark):
     assert found[100] == "phone:11:23"
 
 
+def test_contexts_discover_identifiers_without_digits(spark):
+    kinds = {"email": ("writes", "user{}@mail.example.org"), "ip": ("host", "10.0.7.{}"), "phone": ("caller", "+1 202 555 1{:03d}")}
+    rows = [(1000 * at + n, f"{prose(n, 8)} {word} {form.format(n)} {prose(n + 500, 5)}")
+            for at, (word, form) in enumerate(kinds.values()) for n in range(60)]
+    rows += [(9000, "he writes jdoe@intranet today"), (9001, "she writes @handle today"), (9002, "he writes a@b today"),
+             (9003, "the host jdoe@intranet today"), (9004, "the caller @handle today"), (9005, "he writes 1234567 today")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {row.doc_id: row.spans for row in personal_data(docs).collect()}
+    assert [found[9000 + n] for n in range(6)] == ["email:10:23", "email:11:18", "", "", "", "email:10:17"]
+    assert {row.text for row in masked(docs).filter("doc_id in (9000, 9001)").collect()} == {
+        "he writes [EMAIL] today", "she writes [EMAIL] today"}
+
+
 def test_shared_passages(documents, nothing):
     rows = shared_passages(documents).collect()
     pairs = {(row.doc_id, row.other_id) for row in rows}
