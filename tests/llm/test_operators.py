@@ -252,6 +252,54 @@ def test_passages_whose_parts_smaller_documents_hold(spark):
     assert all(row.begin <= 30 and row.end >= 82 for row in found)
 
 
+@pytest.fixture(scope="module")
+def given(spark):
+    """Documents of the test tables with partly copied ones, and their words by id."""
+    rows = [(int(row.doc_id), row.text) for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts = [text for _, text in rows if text and len(text.split()) > 120][:20]
+    for n, text in enumerate(texts):
+        words = text.split()
+        rows += [(10_000 + n, " ".join([*words[:100], f"end{n}"])), (9_000 + n, " ".join(words[20:70])), (8_000 + n, near(text))]
+    words = {one: [word for word in re.split("[\t-\r ]+", lower(text)) if word] for one, text in rows}
+    return spark.createDataFrame(rows, "doc_id long, text string"), words
+
+
+def test_near_duplicates_against_all_pairs(given):
+    docs, words = given
+    sets = {one: {tuple(all_words[at:at + 4]) for at in range(max(len(all_words) - 3, min(len(all_words), 1)))}
+            for one, all_words in words.items()}
+    component = {one: one for one in sets}
+    for one in sorted(sets):
+        for other in sorted(sets):
+            if other < one and sets[one] and 100 * len(sets[one] & sets[other]) >= 80 * len(sets[one] | sets[other]):
+                low, high = sorted((component[one], component[other]))
+                component = {node: low if of == high else of for node, of in component.items()}
+    found = near_duplicates(docs, NearDuplicates(shingle_words=4)).collect()
+    assert {row.doc_id: row.component_id for row in found} == component and len(set(component.values())) < len(sets) - 15
+
+
+def test_shared_passages_against_direct_search(given):
+    docs, words = given
+    runs = {}
+    for one in sorted(words):
+        for at in range(len(words[one]) - 49):
+            runs.setdefault(tuple(words[one][at:at + 50]), []).append((one, at))
+    covered = {}
+    for row in shared_passages(docs).collect():
+        covered.setdefault(row.doc_id, set()).update(range(row.begin, row.end))
+        one, other = words[row.doc_id][row.begin:row.end], words[row.other_id][row.other_begin:row.other_end]
+        common = [0] * (len(other) + 1)  # of a longest common subsequence
+        for word in one:
+            before = 0
+            for at, that in enumerate(other, 1):
+                before, common[at] = common[at], before + 1 if word == that else max(common[at], common[at - 1])
+        assert row.other_id < row.doc_id and min(len(one), len(other)) >= 50
+        assert common[-1] >= row.agreeing >= 0.8 * max(len(one), len(other))
+    missed = [(one, at) for found in runs.values() for one, at in found
+              if one != found[0][0] and not covered.get(one, set()).issuperset(range(at, at + 50))]
+    assert missed == [] and len(covered) >= 40
+
+
 def test_edited_passages(spark):
     """One word replaced in every 5 to 15: 80 to 93 % agree."""
     rows, wanted = [], set()
