@@ -13,6 +13,7 @@ from .addressable_codes import token_files
 from .byte_bpe import round_trip
 from .common import table
 from .decontamination import contamination
+from .filter_audit import filter_audit
 from .near_duplicates import NearDuplicates, near_duplicates
 from .passages import shared_passages
 from .personal_data import personal_data
@@ -64,10 +65,14 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_near_duplicates, op2_warc, op3_fingerprints, op4_decontamination, op5_quality, op6_token_files, op7_toxicity,
-        op8_byte_bpe, op9_personal_data, op10_shared_passages)}
+        op8_byte_bpe, op9_personal_data, op10_shared_passages, op13_filter_audit)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -87,3 +92,32 @@ named AS (SELECT doc_id, count(*) AS k, sha256(string_agg(item, ',' ORDER BY ite
 SELECT dw.doc_id, len(w) AS n_words, coalesce(h, 0) AS n_hit, coalesce(k, 0) AS n_items,
        coalesce(z, sha256('')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""}
+
+ORACLE["op13_filter_audit"] = r"""
+WITH d AS (SELECT coalesce(lang, '') AS part, coalesce(text, '') AS t, doc_id,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+             100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * len(t) AS c, regexp_matches(t, '[#$%&*|]') AS d,
+             coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e,
+             doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+             doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic FROM d),
+g AS (SELECT part, a, b, c, d, e, a::INT + b::INT + c::INT + d::INT + e::INT AS failed, count(*) AS n,
+             count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT v.x || w.x || y.x || z.x || u.x AS filter_order FROM l v, l w, l y, l z, l u
+      WHERE len(list_distinct([v.x, w.x, y.x, z.x, u.x])) = 5),
+r AS (SELECT g.*, filter_order, least(if(a, instr(filter_order, 'A'), 6), if(b, instr(filter_order, 'B'), 6),
+             if(c, instr(filter_order, 'C'), 6), if(d, instr(filter_order, 'D'), 6), if(e, instr(filter_order, 'E'), 6)) AS gone
+      FROM g, o),
+s AS (SELECT r.*, step, filter_order[step] AS x,
+             CASE filter_order[step] WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c WHEN 'D' THEN d ELSE e END AS fails
+      FROM r, (SELECT unnest(range(1, 6)) AS step))
+SELECT part, filter_order, CAST(step AS INT) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM (SELECT part, filter_order, step, x, CAST(coalesce(sum(n) FILTER (gone > step), 0) AS BIGINT) AS kept,
+             CAST(coalesce(sum(n) FILTER (gone = step), 0) AS BIGINT) AS removed,
+             CAST(coalesce(sum(n) FILTER (fails AND gone < step), 0) AS BIGINT) AS redundant,
+             CAST(coalesce(sum(n) FILTER (fails AND failed = 1), 0) AS BIGINT) AS unique_fails,
+             CAST(coalesce(sum(good) FILTER (gone = step), 0) AS BIGINT) AS good_lost,
+             CAST(coalesce(sum(toxic) FILTER (gone = step), 0) AS BIGINT) AS toxic_lost
+      FROM s GROUP BY ALL)"""
