@@ -14,6 +14,7 @@ from .byte_bpe import round_trip
 from .common import table
 from .decontamination import contamination
 from .filter_audit import filter_audit
+from .hard_negatives import hard_negatives
 from .near_duplicates import NearDuplicates, near_duplicates
 from .passages import shared_passages
 from .personal_data import personal_data
@@ -65,6 +66,11 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -72,7 +78,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_near_duplicates, op2_warc, op3_fingerprints, op4_decontamination, op5_quality, op6_token_files, op7_toxicity,
-        op8_byte_bpe, op9_personal_data, op10_shared_passages, op13_filter_audit)}
+        op8_byte_bpe, op9_personal_data, op10_shared_passages, op12_hard_negatives,
+        op13_filter_audit)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
@@ -93,6 +100,19 @@ SELECT dw.doc_id, len(w) AS n_words, coalesce(h, 0) AS n_hit, coalesce(k, 0) AS
        coalesce(z, sha256('')) AS items_sha256, coalesce(h, 0) > 0 AS contaminated
 FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""}
 
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS r,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, v.r, v.vec_id, a.label = v.label AS same,
+             CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score FROM v a, v WHERE a.vec_id % 100 = 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS place FROM s
+      WHERE same AND anchor != r QUALIFY place <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+       row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+QUALIFY rank <= 5"""
 ORACLE["op13_filter_audit"] = r"""
 WITH d AS (SELECT coalesce(lang, '') AS part, coalesce(text, '') AS t, doc_id,
              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
