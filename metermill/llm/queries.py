@@ -16,6 +16,7 @@ from .decontamination import contamination
 from .filter_audit import filter_audit
 from .hard_negatives import hard_negatives
 from .near_duplicates import NearDuplicates, near_duplicates
+from .packing import packed_documents
 from .passages import shared_passages
 from .personal_data import personal_data
 from .phrases import edited_fingerprints
@@ -66,6 +67,10 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
@@ -78,8 +83,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_near_duplicates, op2_warc, op3_fingerprints, op4_decontamination, op5_quality, op6_token_files, op7_toxicity,
-        op8_byte_bpe, op9_personal_data, op10_shared_passages, op12_hard_negatives,
-        op13_filter_audit)}
+        op8_byte_bpe, op9_personal_data, op10_shared_passages, op11_packing,
+        op12_hard_negatives, op13_filter_audit)}
 
 _WORDS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
           r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
