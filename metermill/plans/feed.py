@@ -13,13 +13,14 @@ Two plans give the same rows:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from metermill.functions.scalars import multiplier_text
-from metermill.operators.sets import union_all
+from metermill.operators.sets import union_all, widening
 from metermill.operators.unnest import nested_array
 from metermill.plans.kinds import KINDS, READING_FIELDS, ReadingKind
 from metermill.plans.translate import Text, canonical, document_rows, kind_readings, text_literal
@@ -29,16 +30,27 @@ from metermill.schemas import CANONICAL_COLUMNS, FEED_COLUMNS, MULTIPLIER_PARTS
 _FUSED = "array<struct<kind:int," + ",".join(
     f"{name}:{'int' if name == 'quality' else 'string'}" for name in READING_FIELDS) + ">>"
 
-# The feed's columns are all text, but for the device.
+# The feed's columns are all text, but for the device, also where no branch is text by itself.
 _TEXT_CANONICAL = T.StructType([
     T.StructField(name, T.LongType() if name == "deviceId" else T.StringType()) for name in CANONICAL_COLUMNS])
 
 
-def feed_types(readings: DataFrame, kind: ReadingKind) -> DataFrame:
-    """Canonical readings with the feed's types."""
-    if kind.feed_value_as_double:
-        readings = readings.withColumn("readingsValue", F.col("readingsValue").cast("double"))
-    return readings.to(_TEXT_CANONICAL)
+def _paths(readings: Sequence[DataFrame]) -> dict[str, list[list[T.DataType]]]:
+    """By column, what each branch's values are cast to, in order; the last is the feed's type."""
+    schemas = [one.schema for one in readings]
+    return {f.name: [path + [f.dataType] for path in widening([schema[f.name].dataType for schema in schemas])]
+            for f in _TEXT_CANONICAL.fields}
+
+
+def _along(value: Column, path: Sequence[T.DataType]) -> Column:
+    return reduce(Column.cast, path, value)
+
+
+def feed_branches(readings: Sequence[DataFrame]) -> list[DataFrame]:
+    """Canonical readings of several kinds with the feed's types, widened as their union from left to right does."""
+    paths = _paths(readings)
+    return [one.select(*[_along(F.col(name), paths[name][at]).alias(name) for name in CANONICAL_COLUMNS])
+            for at, one in enumerate(readings)]
 
 
 def with_multiplier(readings: DataFrame) -> DataFrame:
@@ -49,15 +61,11 @@ def with_multiplier(readings: DataFrame) -> DataFrame:
 def unified_feed(documents: DataFrame, kinds: Sequence[ReadingKind] = KINDS, owner: Text | None = None,
                  guid_file: Text | None = None) -> DataFrame:
     parents = document_rows(documents, [k.array for k in kinds], owner, guid_file)
-    return with_multiplier(union_all([feed_types(kind_readings(parents, kind), kind) for kind in kinds]))
-
-
-def _feed_value(kind: ReadingKind, value: Column) -> Column:
-    return (value.cast("double") if kind.feed_value_as_double else value).cast("string")
+    return with_multiplier(union_all(feed_branches([kind_readings(parents, kind) for kind in kinds])))
 
 
-def _fused_reading(position: int, kind: ReadingKind):
-    """The reading of a kind as a struct of the common type."""
+def _fused_reading(position: int, kind: ReadingKind, paths: dict[str, list[list[T.DataType]]]):
+    """The reading of a kind as a struct of the common type, whose texts are those of the union."""
 
     def row(*elements: Column) -> Column:
         reading = kind.reading(F.col("documentTime"), *elements)
@@ -66,7 +74,7 @@ def _fused_reading(position: int, kind: ReadingKind):
             if name == "quality":
                 value = reading.get(name, F.lit(None)).cast("int")
             elif name in reading:
-                value = _feed_value(kind, reading[name]) if name == "readingsValue" else reading[name].cast("string")
+                value = _along(reading[name], paths["readingLocalTime" if name == "time" else name][position])
             else:
                 value = F.lit(kind.constants.get(name, ""))
             fields.append(value.alias(name))
@@ -81,8 +89,9 @@ def fused_feed(documents: DataFrame, kinds: Sequence[ReadingKind] = KINDS, owner
     arrays = {k.array for k in kinds}
     document = [c for c in parents.columns if c not in arrays]
     empty = F.expr(f"CAST(array() AS {_FUSED})")
+    paths = _paths([kind_readings(parents, kind) for kind in kinds])
     families = [
-        nested_array(F.col(kind.array), kind.steps, _fused_reading(position, kind), empty, kind.keep)
+        nested_array(F.col(kind.array), kind.steps, _fused_reading(position, kind, paths), empty, kind.keep)
         for position, kind in enumerate(kinds)
     ]
     readings = parents.select(*document, F.explode(F.concat(*families)).alias("reading"))

@@ -43,9 +43,6 @@ class ReadingKind:
     constants: dict[str, str]
     steps: tuple[Step, ...] = ()
     keep: Callable[..., Column] | None = None
-    # Whole-number values that the feed shows as doubles ("14.0"), as they are united with the
-    # double-valued kinds before the text-valued ones.
-    feed_value_as_double: bool = False
     written: bool = True
     skipped_when_empty: bool = False
 
@@ -153,14 +150,12 @@ MAX_DEMAND = ReadingKind(
 
 DEMAND_RESET_COUNT = ReadingKind(
     "DemandResetCount", "DemandResetCountReadings", "DemandResetCount", _reset_count,
-    {"readingType": REGISTERS, "variableId": "Demand Reset", **FROM_PATH},
-    feed_value_as_double=True)
+    {"readingType": REGISTERS, "variableId": "Demand Reset", **FROM_PATH})
 
 CONSUMPTION = ReadingKind(
     "ConsumptionData", "ConsumptionDataReadings", "ConsumptionData",
     _register("ConsumptionSpec", document_time_fallback=False, unit=S.consumption_unit),
-    {"readingType": REGISTERS, **FROM_PATH},
-    feed_value_as_double=True)
+    {"readingType": REGISTERS, **FROM_PATH})
 
 COINCIDENT_DEMAND = ReadingKind(
     "CoincidentDemandData", "CoincidentDemandDataReadings", "CoincidentDemandData",

@@ -8,6 +8,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from metermill.functions import scalars as S
 from metermill.functions.quality import quality_codes, quality_rule
@@ -15,14 +16,14 @@ from metermill.job import translate_export
 from metermill.operators.sets import union_all
 from metermill.operators.unnest import explode_levels, zip_explode
 from metermill.plans import kinds as K
-from metermill.plans.feed import feed_types, fused_feed, unified_feed, with_multiplier
+from metermill.plans.feed import feed_branches, fused_feed, unified_feed, with_multiplier
 from metermill.plans.translate import translate
 from metermill.schemas import document_schema
 from metermill.sources.documents import read_documents
-from metermill.sources.schema_files import export_schema, infer_schema, load_schema
+from metermill.sources.schema_files import export_schema, infer_schema, load_schema, schema_rows
 from metermill.sources.sinks import working_folder, write_csv
 from metermill.workload import oracle as O
-from metermill.workload.documents import (event_documents, exported, meter_documents, register_documents,
+from metermill.workload.documents import (event_documents, exported, long_documents, meter_documents, register_documents,
                                           reset_documents)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,7 +130,7 @@ def _(spark, sf_dir):
 @query("s4_schema_inference", _SCAN)
 def _(spark, sf_dir):
     exports = _exports(spark, sf_dir)
-    return _scan(read_documents(spark, exports, infer_schema(spark, exports)))
+    return _scan(read_documents(spark, exports, infer_schema(spark, exports, documents=10_000)))
 
 
 @query("s5_schema_export", _SCAN)
@@ -139,6 +140,37 @@ def _(spark, sf_dir):
     return _scan(read_documents(spark, _exports(spark, sf_dir), load_schema(spark, path)))
 
 
+def _with_fields(spark: SparkSession, schema: T.StructType, documents: DataFrame) -> DataFrame:
+    """The fields of a schema, each with the number of documents that were read with it."""
+    fields = spark.createDataFrame(schema_rows(schema), "path string, type string, nullable boolean")
+    return fields.withColumn("documents", F.lit(documents.count()).cast("long"))
+
+
+def _fields_sql(rows: list[tuple[str, str, bool]]) -> str:
+    values = ", ".join(f"('{path}', '{kind}', {nullable})" for path, kind, nullable in rows)
+    counts = " + ".join(f"(SELECT count(*) FROM {table})" for table in ("lineitem", "orders", "events"))
+    return f"SELECT path, type, nullable, {counts} AS documents FROM (VALUES {values}) AS fields(path, type, nullable)"
+
+
+_FIELDS = _fields_sql(schema_rows(document_schema()))
+
+
+@query("s3_schema_fields", _FIELDS)
+def _(spark, sf_dir):
+    path = _folder(spark)
+    spark.createDataFrame([(json.dumps(document_schema().json()),)], "value string").coalesce(1).write.text(path)
+    schema = load_schema(spark, path)
+    return _with_fields(spark, schema, read_documents(spark, _exports(spark, sf_dir), schema))
+
+
+@query("s5_schema_fields", _FIELDS)
+def _(spark, sf_dir):
+    path = _folder(spark)
+    export_schema(spark, document_schema(), path)
+    schema = load_schema(spark, path)
+    return _with_fields(spark, schema, read_documents(spark, _exports(spark, sf_dir), schema))
+
+
 def _kind_csv(spark: SparkSession, path: str, written: DataFrame) -> DataFrame:
     """A kind's CSV directory, read back with the types that were written."""
     return spark.read.option("header", True).schema(written.schema).csv(path)
@@ -241,11 +273,10 @@ def _(spark, sf_dir):
     return translate(meter_documents(spark, sf_dir), K.MAX_DEMAND).select("deviceId", "readingLocalTime", "readingsValue")
 
 
-@query("p8_canonical_select", " UNION ALL ".join(O.kind_sql(k) for k in (O.MAX_DEMAND, O.CUMULATIVE)))
+@query("p8_canonical_select", O.canonical_text_sql(list(O.EXPECTED.values())))
 def _(spark, sf_dir):
     documents = meter_documents(spark, sf_dir)
-    return union_all([translate(documents, k) for k in
-                      (K.MAX_DEMAND, K.CUMULATIVE_DEMAND)])
+    return union_all(feed_branches([translate(documents, k) for k in K.KINDS]))
 
 
 @query("p9_column_overwrite", O.select(O.LINES, {"irn": "l_orderkey", "unit": O.CONSUMED.format("°")}, O.LINE_JOINS))
@@ -259,7 +290,7 @@ def _(spark, sf_dir):
 @query("p10_column_drop", O.feed_sql([O.LOAD_PROFILE]))
 def _(spark, sf_dir):
     readings = translate(reset_documents(spark, sf_dir), K.LOAD_PROFILE)
-    return with_multiplier(feed_types(readings, K.LOAD_PROFILE))
+    return with_multiplier(*feed_branches([readings]))
 
 
 # --- Filters -------------------------------------------------------------------------------------
@@ -521,7 +552,7 @@ def _text_sql(kinds: list[O.Expected]) -> str:
 @query("c16_text_casts", _text_sql(list(O.EXPECTED.values())))
 def _(spark, sf_dir):
     documents = meter_documents(spark, sf_dir)
-    return union_all([feed_types(translate(documents, k), k).select(*_TEXT_COLUMNS) for k in K.KINDS])
+    return union_all([one.select(*_TEXT_COLUMNS) for one in feed_branches([translate(documents, k) for k in K.KINDS])])
 
 
 # --- Set operators -------------------------------------------------------------------------------
@@ -536,10 +567,35 @@ def _(spark, sf_dir):
     return translate(documents, CURRENT_OUTAGES).union(translate(documents, PREVIOUS_OUTAGES))
 
 
-@query("u2_union_all", " UNION ALL ".join(O.kind_sql(k) for k in (O.MAX_DEMAND, O.COINCIDENT, O.CUMULATIVE)))
+_UNITED = ("deviceId", "readingType", "variableId", "unitOfMeasure", "primarySource", "owner")
+
+
+@query("u2_union_all", " UNION ALL ".join(O.kind_sql(k, _UNITED) for k in O.EXPECTED.values()))
+def _(spark, sf_dir):
+    # Columns of one type in all kinds, so that nothing but the union is at work.
+    documents = meter_documents(spark, sf_dir)
+    return union_all([translate(documents, k).select(*_UNITED) for k in K.KINDS])
+
+
+def _widened_sql(order: list[O.Expected], whole: set[str]) -> str:
+    """The texts of a union in another order: whole numbers that no double comes before a text stay whole."""
+    return _text_sql([replace(k, feed_value_as_double=name not in whole and k.feed_value_as_double)
+                      for name, k in ((n, k) for k in order for n, own in O.EXPECTED.items() if own is k)])
+
+
+@query("u3_widening_texts_first", _widened_sql([O.CONSUMPTION, O.RESET, O.RESET_COUNT, O.MAX_DEMAND],
+                                               {"ConsumptionData", "DemandResetCount"}))
 def _(spark, sf_dir):
-    documents = register_documents(spark, sf_dir)
-    return union_all([translate(documents, k) for k in (K.MAX_DEMAND, K.COINCIDENT_DEMAND, K.CUMULATIVE_DEMAND)])
+    # A reset's value is a text: consumption and counts meet it before any double.
+    kinds = (K.CONSUMPTION, K.DEMAND_RESET, K.DEMAND_RESET_COUNT, K.MAX_DEMAND)
+    return unified_feed(meter_documents(spark, sf_dir), kinds).select(*_TEXT_COLUMNS)
+
+
+@query("u3_widening_fused", _widened_sql([O.RESET_COUNT, O.STATUSES, O.CONSUMPTION, O.INTERVAL],
+                                         {"ConsumptionData", "DemandResetCount"}))
+def _(spark, sf_dir):
+    kinds = (K.DEMAND_RESET_COUNT, K.STATUSES, K.CONSUMPTION, K.INTERVAL)
+    return fused_feed(meter_documents(spark, sf_dir), kinds).select(*_TEXT_COLUMNS)
 
 
 @query("u3_type_widening", _text_sql(list(O.EXPECTED.values())))
@@ -597,6 +653,27 @@ def _(spark, sf_dir):
     return _read_csv(spark, written.feed).withColumn("deviceId", F.col("deviceId").cast("long"))
 
 
+def _long_sql(name: str, columns: dict[str, str], per_document: int) -> str:
+    meter = "CAST(s_suppkey AS BIGINT)"
+    values = {"kind": f"'{name}'", "deviceId": meter, "primarySource": "'Visual'", **columns}
+    listed = ", ".join(f"{sql} AS {column}" for column, sql in values.items())
+    return f"SELECT {listed} FROM supplier, (SELECT unnest(range({per_document})) AS n)"
+
+
+@query("job_oversized_documents", " UNION ALL ".join((
+    _long_sql("IntervalData", {"variableId": "'kWh Delivered'", "readingsValue": "CAST((s_suppkey * 7 + n) % 1000 AS VARCHAR) || '.5'"}, 2500),
+    _long_sql("EventData", {"variableId": "'k' || n % 3", "readingsValue": "CAST(s_suppkey + n AS VARCHAR)"}, 300),
+    _long_sql("DemandReset", {"variableId": "'Demand Reset'", "readingsValue": "'0'"}, 200))))
+def _(spark, sf_dir):
+    # Documents of some 300 KB each, which the job is told to cut from 100 KB on.
+    exports = exported(spark, sf_dir, "long", long_documents)
+    kinds = (K.DEMAND_RESET, K.EVENT, K.INTERVAL)
+    written = translate_export(spark, exports, _folder(spark), kinds=kinds, write_events=True, whole_bytes=100_000)
+    return union_all([_read_csv(spark, path).select(
+        F.lit(name).alias("kind"), F.col("deviceId").cast("long"), "primarySource", "variableId", "readingsValue")
+        for name, path in written.kinds.items()])
+
+
 @query("q7_owner_and_guid", O.select(O.LINES, {"deviceId": "l_suppkey", "owner": "'utility'", "guidFile": "'run 7'"},
                                      O.MAX_DEMAND.joins, O.MAX_DEMAND.where))
 def _(spark, sf_dir):

@@ -8,6 +8,7 @@ interval meters.  How many readings of a kind a document holds varies by row, fr
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,6 +190,28 @@ def meter_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def long_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One long document for each supplier: 2,500 interval readings in one element, 300 events and 200 resets."""
+    suppliers = table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey").cast("long")
+    start = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+
+    def times(count: int, of: Callable[[Column], Column]) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), of)
+
+    def at(n: Column) -> Column:
+        return _time(start + F.make_dt_interval(mins=n))
+
+    interval = _struct(
+        IntervalSpec=_struct(_Channel=F.lit(1).cast("long"), _Direction=F.lit("Delivered"), _UOM=F.lit("kWh")),
+        Reading=times(2500, lambda n: _struct(_RawReading=((key * 7 + n) % 1000).cast("double") + 0.5, _TimeStamp=at(n))))
+    events = _struct(Event=times(300, lambda n: _struct(
+        EventAttribute=F.array(_struct(_Name=F.concat(F.lit("k"), (n % 3).cast("string")), _Value=key + n)), _TimeStamp=at(n))))
+    return suppliers.select(
+        *_header(key, key, _time(start), F.lit("Visual")), times(200, lambda n: _struct(_TimeStamp=at(n))).alias("DemandReset"),
+        F.array(events).alias("EventData"), F.array(interval).alias("IntervalData"))
+
+
 def exported(spark: SparkSession, sf_dir: str, name: str, make) -> str:
     """The folder with these documents as XML exports; written once per session.
 

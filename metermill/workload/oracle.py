@@ -231,6 +231,16 @@ def feed_columns(kind: Expected) -> dict[str, str]:
     return {**{n: s for n, s in texts.items() if n not in MULTIPLIER_PARTS}, "multiplier": multiplier}
 
 
+def canonical_text_sql(kinds: list[Expected]) -> str:
+    """The thirty columns of several kinds, with the texts that the feed has."""
+    branches = []
+    for kind in kinds:
+        feed = feed_columns(kind)
+        columns = {name: feed.get(name, f"CAST({sql} AS VARCHAR)") for name, sql in columns_of(kind).items()}
+        branches.append(select(kind.documents, columns, kind.joins, kind.where))
+    return " UNION ALL ".join(branches)
+
+
 def feed_sql(kinds: list[Expected], blank_as_null: bool = False, device_as_text: bool = False) -> str:
     branches = []
     for kind in kinds:

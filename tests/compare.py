@@ -14,7 +14,7 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = ("lineitem", "orders", "events")
+TABLES = ("lineitem", "orders", "events", "supplier")
 
 
 def bag(rows, columns: list[str]) -> Counter:

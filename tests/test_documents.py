@@ -5,10 +5,11 @@ import random
 
 import pytest
 from exports import write_exports
+from pyspark.sql import functions as F
 
 from metermill import document_schema, kind_named, read_documents
-from metermill.sources.documents import schema_for, write_documents
-from metermill.sources.schema_files import export_schema, infer_schema, load_schema
+from metermill.sources.documents import document_texts, schema_for, write_documents
+from metermill.sources.schema_files import export_schema, infer_schema, load_schema, schema_rows
 from metermill.workload.documents import event_documents
 
 HEAD = '<?xml version="1.0"?><AMRDEF>'
@@ -111,6 +112,31 @@ def test_inferred_schema_has_the_sample_types(spark, tmp_path):
     ) - {"_valueTag"}
 
 
+def test_inference_from_a_sample_of_documents(spark, tmp_path):
+    write_exports(tmp_path)
+    assert infer_schema(spark, str(tmp_path), documents=1000) == infer_schema(spark, str(tmp_path))
+    (tmp_path / "more").mkdir()
+    for n in range(3):
+        text = "\n".join(document(k, f'<DemandResetCount Count="{k}"/>' * (k % 3) + (f'<Own A="{k}.5"/>' if k % 50 == 7 else ""))
+                         for k in range(100 * n, 100 * n + 100))
+        (tmp_path / "more" / f"{n}.xml").write_text(f"<AMRDEF>{text}</AMRDEF>")
+    path = str(tmp_path / "more")
+    assert infer_schema(spark, path, documents=300) == infer_schema(spark, path)
+    # A smaller sample is that of the documents taken, wherever they are.
+    taken = document_texts(spark, path).orderBy(F.xxhash64("text")).limit(12).collect()
+    (tmp_path / "taken.xml").write_text("<AMRDEF>" + "".join(row.text for row in taken) + "</AMRDEF>")
+    assert infer_schema(spark, path, documents=12) == infer_schema(spark, str(tmp_path / "taken.xml"))
+    (tmp_path / "none.xml").write_text("<AMRDEF></AMRDEF>")
+    assert infer_schema(spark, str(tmp_path / "none.xml"), documents=5).fields == []
+
+
+def test_schema_rows():
+    rows = {path: (kind, nullable) for path, kind, nullable in schema_rows(document_schema())}
+    assert rows["_Irn"] == ("long", True) and rows["IntervalData"] == ("array", True)
+    assert rows["IntervalData[].Reading[].QualityFlags._DST"] == ("long", True) and rows["Meter._SdpIdent"][0] == "string"
+    assert len(rows) == len(schema_rows(document_schema())) and "Meter[]" not in rows
+
+
 def test_schema_for_kinds():
     narrow = schema_for([kind_named("DemandReset")])
     assert set(narrow.names) == {"Meter", "_CollectionTime", "_Source", "DemandReset"}

@@ -4,8 +4,10 @@ import datetime as dt
 
 import pytest
 from exports import CODES, FLAGS_IN_ORDER, write_exports
+from pyspark.sql import types as T
 
 from metermill import KINDS, fused_feed, kind_named, read_documents, translate, unified_feed
+from metermill.operators.sets import widening
 from metermill.schemas import CANONICAL_COLUMNS, FEED_COLUMNS
 
 ROWS = {"MaxDemandData": 2, "DemandResetCount": 2, "ConsumptionData": 2, "CoincidentDemandData": 1,
@@ -173,3 +175,30 @@ def test_fused_feed_of_some_kinds_and_own_owner(documents):
 
 def test_narrowed_schema_gives_the_same_feed(spark, folder, documents):
     assert same(fused_feed(read_documents(spark, folder, kinds=KINDS)), unified_feed(documents))
+
+
+LONG, DOUBLE, TEXT = T.LongType(), T.DoubleType(), T.StringType()
+
+
+@pytest.mark.parametrize("types, paths", [
+    ([LONG, DOUBLE, TEXT], [[DOUBLE, TEXT], [TEXT], []]),
+    ([LONG, TEXT, DOUBLE], [[TEXT], [], [TEXT]]),
+    ([DOUBLE, LONG], [[], [DOUBLE]]),
+    ([LONG, LONG], [[], []]),
+    ([T.TimestampType(), TEXT], [[TEXT], []]),
+    ([T.BooleanType(), LONG], [[TEXT], [TEXT]]),
+])
+def test_widening(types, paths):
+    assert widening(types) == paths
+
+
+@pytest.mark.parametrize("names, value", [
+    (["ConsumptionData"], "7"), (["ConsumptionData", "MaxDemandData"], "7.0"), (["MaxDemandData", "ConsumptionData"], "7.0"),
+    (["ConsumptionData", "DemandReset", "MaxDemandData"], "7"), (["ConsumptionData", "MaxDemandData", "DemandReset"], "7.0"),
+    (["DemandReset", "MaxDemandData", "ConsumptionData"], "7"),
+])
+def test_texts_of_some_kinds(documents, names, value):
+    kinds = [kind_named(name) for name in names]
+    feed = unified_feed(documents, kinds)
+    assert same(feed, fused_feed(documents, kinds))
+    assert value in {row.readingsValue for row in feed.filter("unitOfMeasure = 'kWh'").collect()}
