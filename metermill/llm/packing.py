@@ -10,8 +10,10 @@ which gets which; tasks look up their own pieces and gaps by rank.  Then the gap
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
 
@@ -27,13 +29,43 @@ from .common import blocks, staged, text_bytes
 CAPACITY = 4096
 #: A band's longest pieces are so many times as long as its shortest.
 BAND = 4
-#: Words that a worker remembers, and bytes of the longest of them.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words, and pieces of words, that a worker remembers at least, and bytes of the longest of them.
+REMEMBERED_WORDS, REMEMBERED_PIECES, LONGEST = 100_000, 300_000, 64
 NEW = -1  #: stands for the size of the gap of a sequence that the round opens
 
 
+#: ASCII signs and the letters from U+00C0 to U+00FF: words of these alone are cut here, others by the library.
+_LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+SIMPLE = re.compile(rb"(?:[!-~]|" + _LATIN + rb")+")
+#: What the tokenizer's pattern cuts such a word into, in lower case.
+PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|" + _LATIN + rb")+|[0-9]|[^a-z0-9\xc3]+")
+
+
+def byte_alphabet() -> dict[int, int]:
+    """The sign that stands for each byte in byte-level vocabularies: a visible one for itself, the others from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {byte: 256 + at for at, byte in enumerate(byte for byte in range(256) if byte not in shown)}
+
+
+class Memory(dict):
+    """What was worked out for the keys looked up lately: at least `size` of them, at most twice as many."""
+
+    def __init__(self, size: int, work: Callable[[bytes], bytes]):
+        super().__init__()
+        self.size, self.work, self.older = size, work, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        value = self.older.get(key) or self.work(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.size:
+                self.older = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 class WordIds:
-    """Ids of texts as 4 bytes each.  White space parts words for the library, so words are looked up one by one."""
+    """Ids of texts, 4 bytes each.  White space parts words, which are cut into pieces on their own."""
 
     def __init__(self, raw: bytes):
         import os
@@ -42,24 +74,27 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
-        self.ids: dict[bytes, bytes] = {}
-
-    def encoded(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
-
-    def of(self, texts: list[bytes]) -> Iterator[bytes]:
-        split = [text.split() for text in texts]
-        new = [word for word in set().union(*split) if word not in self.ids]
-        if len(self.ids) + len(new) > REMEMBERED and self.ids:
-            self.ids, new = {}, list(set().union(*split))
-        ids = self.ids
-        kept = [word for word in new if len(word) <= LONGEST]
-        ids.update(zip(kept, self.encoded(kept), strict=True))
-        long = [word for word in new if len(word) > LONGEST]
-        others = dict(zip(long, self.encoded(long), strict=True))
-        for words in split:
-            yield b"".join([ids.get(word) or others.get(word, b"") for word in words])
+        self.model, self.alphabet = self.tokenizer.model, byte_alphabet()
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.words = Memory(REMEMBERED_PIECES, self.piece), Memory(REMEMBERED_WORDS, self.word)
+
+    def library(self, text: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(text.decode(), add_special_tokens=False).ids).tobytes()
+
+    def piece(self, piece: bytes) -> bytes:
+        shown = piece.decode() if piece.isascii() else piece.decode("latin-1").translate(self.alphabet)
+        return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
+
+    def word(self, word: bytes) -> bytes:
+        if not SIMPLE.fullmatch(word):
+            return self.library(word)
+        word = word.lower() if word.isascii() else word.decode().lower().encode()
+        return b"".join([self.pieces[piece] for piece in PIECES.findall(word)])
+
+    def of(self, text: bytes) -> bytes:
+        if any(one in text for one in self.added):  # the library finds these wherever they are
+            return self.library(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=2)
@@ -79,10 +114,10 @@ def pieces(documents: DataFrame, path: str, capacity: int = CAPACITY, end_id: in
         row = TaskContext.get().partitionId() << 33
         for batch in blocks(batches):
             data, bounds = text_bytes(batch.column("text"))
-            texts = [data[begin:stop].tobytes() for begin, stop in zip(bounds[:-1], bounds[1:], strict=True)]
+            raw_bytes = data.tobytes()
             owner, number, starts, lengths, crc, kept = [], [], [], [], [], []
-            for at, ids in enumerate(words.of(texts)):
-                ids += end
+            for at, (first, stop) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                ids = words.of(raw_bytes[first:stop]) + end
                 for begin in range(0, len(ids), 4 * capacity):
                     one = ids[begin:begin + 4 * capacity]
                     owner.append(at)
