@@ -48,3 +48,32 @@ def nested_array(array: Column, steps: Sequence[Step], row: Callable[..., Column
             current, lambda e: F.coalesce(level(step(e), rest, (*above, e)), empty)))
 
     return F.coalesce(level(array, list(steps), ()), empty)
+
+
+def nested_count(array: Column, steps: Sequence[Step]) -> Column:
+    """How many elements the array has, or those that the first step finds in them; 0 for NULL."""
+    if not steps:
+        return F.coalesce(F.size(array), F.lit(0))
+    return F.coalesce(F.aggregate(array, F.lit(0), lambda n, e: n + F.coalesce(F.size(steps[0](e)), F.lit(0))), F.lit(0))
+
+
+def slice_starts(array: Column, steps: Sequence[Step], length: int) -> Column:
+    """Where ``nested_slice`` begins to cover the array in slices of ``length``: structs (outer, begin)."""
+
+    def starts(outer: Column, count: Column) -> Column:
+        found = F.sequence(F.lit(0), F.greatest(F.ceil(count / length) - 1, F.lit(0)).cast("int"))
+        return F.transform(found, lambda n: F.struct(outer.alias("outer"), (n * length).alias("begin")))
+
+    if not steps:
+        return starts(F.lit(0), F.size(array))
+    return F.flatten(F.transform(array, lambda e, at: starts(at, F.coalesce(F.size(steps[0](e)), F.lit(0)))))
+
+
+def nested_slice(array: Column, steps: Sequence[Step], row: Callable[..., Column], empty: Column,
+                 keep: Callable[..., Column] | None, outer: Column, begin: Column, length: int) -> Column:
+    """``length`` of the rows of ``nested_array``, or rather those of ``length`` elements at its first two levels."""
+    if not steps:
+        return nested_array(F.slice(array, begin + 1, F.lit(length)), (), row, empty, keep)
+    first, *rest = steps
+    return nested_array(F.slice(array, outer + 1, F.lit(1)), (lambda e: F.slice(first(e), begin + 1, F.lit(length)), *rest),
+                        row, empty, keep)

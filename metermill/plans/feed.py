@@ -12,7 +12,7 @@ Two plans give the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,11 +21,14 @@ from pyspark.sql import types as T
 
 from metermill.functions.scalars import multiplier_text
 from metermill.operators.sets import union_all, widening
-from metermill.operators.unnest import nested_array
+from metermill.operators.unnest import nested_array, nested_count, nested_slice, slice_starts
 from metermill.plans.kinds import KINDS, READING_FIELDS, ReadingKind
 from metermill.plans.translate import Text, canonical, document_rows, kind_readings, text_literal
 from metermill.schemas import CANONICAL_COLUMNS, FEED_COLUMNS, MULTIPLIER_PARTS
 
+#: Readings of a family that the fused feed builds at once for a document.
+SLICE_READINGS = 20_000
+_SLICES = "array<struct<of:int,outer:int,begin:int>>"
 # The common element type of the fused arrays.
 _FUSED = "array<struct<kind:int," + ",".join(
     f"{name}:{'int' if name == 'quality' else 'string'}" for name in READING_FIELDS) + ">>"
@@ -83,18 +86,34 @@ def _fused_reading(position: int, kind: ReadingKind, paths: dict[str, list[list[
     return row
 
 
+def _slice_of(position: int) -> Callable[[Column], Column]:
+    return lambda one: F.struct(F.lit(position).alias("of"), one["outer"].alias("outer"), one["begin"].alias("begin"))
+
+
 def fused_feed(documents: DataFrame, kinds: Sequence[ReadingKind] = KINDS, owner: Text | None = None,
-               guid_file: Text | None = None) -> DataFrame:
+               guid_file: Text | None = None, slice_readings: int = SLICE_READINGS) -> DataFrame:
+    """The feed from one scan.  Of a family with more readings, a document gives ``slice_readings`` at a time."""
     parents = document_rows(documents, [k.array for k in kinds], owner, guid_file)
-    arrays = {k.array for k in kinds}
+    arrays = list(dict.fromkeys(k.array for k in kinds))
     document = [c for c in parents.columns if c not in arrays]
     empty = F.expr(f"CAST(array() AS {_FUSED})")
     paths = _paths([kind_readings(parents, kind) for kind in kinds])
-    families = [
-        nested_array(F.col(kind.array), kind.steps, _fused_reading(position, kind, paths), empty, kind.keep)
-        for position, kind in enumerate(kinds)
-    ]
-    readings = parents.select(*document, F.explode(F.concat(*families)).alias("reading"))
+    rows = [_fused_reading(position, kind, paths) for position, kind in enumerate(kinds)]
+    # A document is one row of work, and one more for each slice of a family with many readings, so that no array holds
+    # more than a slice.
+    large = [nested_count(F.col(kind.array), kind.steps) > slice_readings for kind in kinds]
+    whole, slices = [], []
+    for position, (kind, row, many) in enumerate(zip(kinds, rows, large, strict=True)):
+        whole.append(F.when(many, empty).otherwise(nested_array(F.col(kind.array), kind.steps, row, empty, kind.keep)))
+        starts = F.transform(slice_starts(F.col(kind.array), kind.steps, slice_readings), _slice_of(position))
+        slices.append(F.when(many, starts).otherwise(F.expr(f"CAST(array() AS {_SLICES})")))
+    work = F.concat(F.expr(f"CAST(array(named_struct('of', -1, 'outer', 0, 'begin', 0)) AS {_SLICES})"), *slices)
+    pieces = parents.select(*document, *arrays, F.explode(work).alias("piece"))
+    readings = F.when(F.col("piece.of") < 0, F.concat(*whole))
+    for position, (kind, row) in enumerate(zip(kinds, rows, strict=True)):
+        readings = readings.when(F.col("piece.of") == position, nested_slice(
+            F.col(kind.array), kind.steps, row, empty, kind.keep, F.col("piece.outer"), F.col("piece.begin"), slice_readings))
+    readings = pieces.select(*document, F.explode(readings).alias("reading"))
     values = {name: F.col(f"reading.{name}") for name in READING_FIELDS}
     for name in ("readingType", "logNumber", "version", "owner", "guidFile"):
         if name not in document:

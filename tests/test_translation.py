@@ -173,6 +173,11 @@ def test_fused_feed_of_some_kinds_and_own_owner(documents):
     assert {(r.owner, r.guidFile) for r in fused.collect()} == {("o'wner", "a\\b")}
 
 
+@pytest.mark.parametrize("length", [1, 2, 7])
+def test_slices_give_the_same_feed(documents, length):
+    assert same(fused_feed(documents, slice_readings=length), unified_feed(documents))
+
+
 def test_narrowed_schema_gives_the_same_feed(spark, folder, documents):
     assert same(fused_feed(read_documents(spark, folder, kinds=KINDS)), unified_feed(documents))
 
