@@ -80,6 +80,14 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def unused(name: str, rows: DataFrame) -> str:
+    """The name, or one that starts with it, which no column has."""
+    taken = {column.lower() for column in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 

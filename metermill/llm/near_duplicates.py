@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, checkpointed, lists, mixed, numbers, staged, text_bytes
+from .common import blocks, checkpointed, lists, mixed, numbers, staged, text_bytes, unused
 from .components import components
 from .words import shingles, words_of
 
@@ -224,3 +224,28 @@ def near_duplicates(documents: DataFrame, by: NearDuplicates = NearDuplicates())
               .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")))
     result = result.union(every.filter("doc_id is null").select("doc_id", "n_shingles", "doc_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(documents: DataFrame, by: NearDuplicates = NearDuplicates()) -> DataFrame:
+    """The documents (doc_id, text and any others) without all but one row of each group of near duplicates.
+
+    Every row goes by itself, whatever ids repeat: the row with the smallest doc_id of its group stays.  Rows whose doc_id
+    is null or that of other rows too come behind those with an id of their own (before them, where ids beyond 2 ** 62
+    leave no room), in the order in which they are stored.  Null and empty texts are near nothing and stay, all of them.
+    No rows give no rows.  Columns are returned as they are, whatever their names.
+    """
+    repeated = documents.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 or doc_id is null").select("doc_id")
+    if repeated.isEmpty():
+        gone = near_duplicates(documents, by).filter("not kept").select("doc_id")
+        return documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
+    key = unused("row", documents)
+    rows = staged(documents.withColumn(key, F.monotonically_increasing_id()), "rows")
+    several = repeated.filter("doc_id is not null").select(F.col("doc_id").alias("id"), F.lit(True).alias("several"))
+    names = rows.select("doc_id", F.col(key).alias("row"), "text").join(several, F.col("doc_id") == F.col("id"), "left")
+    last = names.filter("several is null").agg(F.max("doc_id")).first()[0]
+    behind = -(2**63) if last is not None and last >= 2**62 else max(last if last is not None else -1, -1) + 1
+    named = staged(names.select(
+        F.when(F.col("several").isNull() & F.col("doc_id").isNotNull(), F.col("doc_id")).otherwise(F.col("row") + behind)
+        .alias("doc_id"), "row", "text"), "named")
+    gone = named.join(near_duplicates(named, by).filter("not kept").select("doc_id"), "doc_id").select(F.col("row").alias(key))
+    return rows.join(gone, key, "left_anti").select(*documents.columns)

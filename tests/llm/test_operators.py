@@ -10,13 +10,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from metermill.llm import quality, toxicity
 from metermill.llm.addressable_codes import Codes, token_files
 from metermill.llm.byte_bpe import decoded, encoded, read_ranks, round_trip
 from metermill.llm.components import components
 from metermill.llm.decontamination import contamination, without_contaminated
-from metermill.llm.near_duplicates import NearDuplicates, near_duplicates
+from metermill.llm.near_duplicates import NearDuplicates, near_duplicates, without_near_duplicates
 from metermill.llm.passages import shared_passages
 from metermill.llm.personal_data import base_spans, masked, personal_data
 from metermill.llm.phrases import edited_fingerprints
@@ -66,6 +67,27 @@ def test_near_duplicates(documents, nothing):
     assert near_duplicates(documents).count() == len(TEXTS) and near_duplicates(nothing).isEmpty()
 
 
+def test_near_duplicates_go_row_by_row(spark):
+    """Repeated ids with other texts, copies without ids, and columns of clashing names."""
+    a, b, c = prose(50), prose(51), prose(52)
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (3, near(b)), (4, None), (4, None), (5, ""), (None, None),
+            (9, prose(59)), (9, prose(59)), (9, prose(60)), (8, near(prose(60)))]
+    docs = spark.createDataFrame([(*row, 0.5, n, "x", "y") for n, row in enumerate(rows)],
+                                 "doc_id long, text string, score double, row long, row_ string, id string")
+    found = without_near_duplicates(docs, NearDuplicates())
+    kept = sorted(row.row for row in found.collect())
+    groups = [[0, 1, 3], [2, 6], [4, 5], [11, 12], [13, 14]]
+    assert found.columns == docs.columns
+    assert all(len([n for n in group if n in kept]) == 1 for group in groups)
+    assert {0, 6, 14} <= set(kept)  # ids of their own come first
+    assert {7, 8, 9, 10} <= set(kept) and len(kept) == 9
+    large = docs.withColumn("doc_id", F.when(F.col("row") == 0, F.lit(2**62)).otherwise(F.col("doc_id")))
+    assert without_near_duplicates(large).count() == 9
+    assert without_near_duplicates(docs.limit(0)).isEmpty()
+    alone = docs.filter("row in (0, 9, 14)")
+    assert without_near_duplicates(alone).count() == 3 and without_near_duplicates(alone).columns == docs.columns
+
+
 def test_a_chain_of_near_copies_is_one_group(spark):
     words = prose(1, 400).split()
     rows = [(n, " ".join(f"new{k}" if k < 12 * n else word for k, word in enumerate(words)), 0.0, 0, "", "")
