@@ -6,7 +6,6 @@ one blank before them, and runs of white space, of which the last sign goes with
 
 from __future__ import annotations
 
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -18,12 +17,24 @@ WHITE_SPACE = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x
 SHORT, LONG = "stmd", ("re", "ve", "ll")
 
 
+def members(pattern: str) -> np.ndarray:
+    """The code points that a class of signs has in the tokenizer library, whose Unicode tables may be newer than Python's."""
+    import tiktoken
+
+    each_byte = {bytes([byte]): byte for byte in range(256)}
+    library = tiktoken.Encoding("class", pat_str=pattern, mergeable_ranks=each_byte, special_tokens={})
+    found = []
+    for begin in range(0, 0x110000, 4096):
+        points = [point for point in range(begin, begin + 4096) if not 0xD800 <= point < 0xE000]
+        found.append(bytes(library.encode_ordinary("".join(map(chr, points)))))
+    return np.frombuffer(b"".join(found).decode().encode("utf-32-le"), np.uint32)
+
+
 @lru_cache(maxsize=1)
 def kinds() -> np.ndarray:
     """The class of every code point."""
-    first = {"L": LETTER, "N": NUMBER}
-    table = np.fromiter((first.get(unicodedata.category(chr(point))[0], OTHER) for point in range(0x110000)), np.uint8,
-                        0x110000)
+    table = np.full(0x110000, OTHER, np.uint8)
+    table[members(r"\p{L}")], table[members(r"\p{N}")] = LETTER, NUMBER
     table[list(WHITE_SPACE)] = SPACE
     return table
 
