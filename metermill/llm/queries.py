@@ -41,7 +41,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     model = quality.fit(documents, table(spark, sf_dir, "labels"), ~held_out)
     return quality.scored(documents, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
