@@ -28,7 +28,7 @@ from .common import blocks, staged, text_bytes
 
 CAPACITY = 4096
 #: A band's longest pieces are so many times as long as its shortest.
-BAND = 4
+BAND = 16
 #: Words, and pieces of words, that a worker remembers at least, and bytes of the longest of them.
 REMEMBERED_WORDS, REMEMBERED_PIECES, LONGEST = 100_000, 300_000, 64
 NEW = -1  #: stands for the size of the gap of a sequence that the round opens
@@ -169,9 +169,8 @@ def range_sorted(rows: DataFrame, size: str, key: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(sizes), part, np.int32)), *batch.columns,
                                               pa.array(at, pa.int64())], ["part", "size", "key", "at"])
 
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sorted_rows = (rows.select(F.col(size).alias("size"), F.col(key).alias("key"))
-                   .repartitionByRange(parts, "size", "key").sortWithinPartitions("size", "key"))
+                   .repartitionByRange("size", "key").sortWithinPartitions("size", "key"))
     return staged(sorted_rows.mapInArrow(number, "part int, size long, key long, at long"), "sorted")
 
 
