@@ -1,4 +1,4 @@
-"""Toxicity grades by cumulative-link ordinal regression on sparse word counts.
+"""Toxicity grades by cumulative-link ordinal regression on sparse counts of words and stems.
 
 Grade 0 is a document labelled clean; the toxic ones have grades 1 to 3 by terciles of how often words that mark toxicity
 occur in them.  One weight per word is shared by all thresholds: P(grade > k) = sigmoid(w x - theta_k), theta ascending.
@@ -15,22 +15,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, lists, staged, text_bytes
+from .common import blocks, lists, mixed, staged, text_bytes
 from .samples import counted, labelled
-from .words import PUNCTUATION, words_of
+from .words import LOWER, PUNCTUATION, segment_hashes, words_of
 
 GRADES = 4
+STEM, STEMS = 5, np.uint64(0x5851F42D4C957F2D)  # the latter tells stems from words
 
 
 @dataclass(frozen=True)
 class Toxicity:
     training_rows: int = 20_000  #: bound of the labelled sample; everything else covers all documents
     least_documents: int = 4  #: of the sample, in which a feature occurs
-    features: int = 512  #: those whose log odds differ most surely,
-    least_sure: float = 2.5  #: by so many standard errors at least
+    least_sure: float = 2.5  #: a feature's log odds differ by so many standard errors at least
     penalty: float = 2e-5
     rounds: int = 500
-    reject_from: float = 0.5  #: P(grade > 0) from which a document counts as toxic
+    reject_from: float = 0.7  #: P(grade > 0) from which a document counts as toxic
 
 
 @dataclass(frozen=True)
@@ -50,14 +50,28 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def terms_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text) of every word and, of longer ones, of their first STEM bytes, as endings vary; in order of texts."""
+    data, bounds = text_bytes(batch.column("text"))
+    words = words_of(data, bounds, PUNCTUATION)
+    owner = np.searchsorted(words.bounds, np.arange(len(words.hashes)), "right") - 1
+    long = np.flatnonzero(words.ends - words.begins > STEM)
+    if not len(long):
+        return words.hashes, owner
+    stems = segment_hashes(LOWER[data][words.begins[long][:, None] + np.arange(STEM)].ravel(), np.full(len(long), STEM))
+    hashes, owners = np.concatenate([words.hashes, mixed(stems ^ STEMS)]), np.concatenate([owner, owner[long]])
+    order = np.argsort(owners, kind="stable")
+    return hashes[order], owners[order]
+
+
 def features_of(batch: pa.RecordBatch, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, feature, count) of the chosen words that occur."""
-    words = words_of(*text_bytes(batch.column("text")), PUNCTUATION)
     if not len(chosen):
         return (np.zeros(0, np.int64),) * 3
-    at = np.minimum(np.searchsorted(chosen, words.hashes), len(chosen) - 1)
-    hit = np.flatnonzero(chosen[at] == words.hashes)
-    return counted(at[hit], np.searchsorted(words.bounds, hit, "right") - 1, len(chosen))
+    hashes, owner = terms_of(batch)
+    at = np.minimum(np.searchsorted(chosen, hashes), len(chosen) - 1)
+    hit = np.flatnonzero(chosen[at] == hashes)
+    return counted(at[hit], owner[hit], len(chosen))
 
 
 def word_counts(sample: DataFrame) -> DataFrame:
@@ -65,9 +79,10 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            words = words_of(*text_bytes(batch.column("text")), PUNCTUATION)
-            each = [np.unique(words.hashes[begin:end], return_counts=True)
-                    for begin, end in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
+            hashes, owner = terms_of(batch)
+            ends = np.searchsorted(owner, np.arange(batch.num_rows), "right")
+            each = [np.unique(hashes[begin:end], return_counts=True)
+                    for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             bounds = np.concatenate([[0], np.cumsum([len(one) for one, _ in each])])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("label"),
@@ -93,12 +108,12 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, by
               .filter(F.col("found") >= by.least_documents)
               .select("word", (odds / F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))).alias("sure"))
               .filter(F.abs("sure") >= by.least_sure)
-              .orderBy(F.desc(F.abs("sure")), "word").limit(by.features).collect())
+              .orderBy("word").collect())  # the sample's bound is theirs
     words = np.array([row["word"] for row in chosen], np.int64).view(np.uint64)
     order = np.argsort(words)
     words, marks = words[order], np.array([row["sure"] for row in chosen])[order] > 3
     known = [row["word"] for row in chosen]
-    # Columns of numbers, not rows of objects: at most training_rows documents with `features` words each.
+    # Columns of numbers, not rows of objects: the chosen words of at most training_rows documents.
     rows = sample.select("doc_id", "label").orderBy("doc_id").toArrow()
     doc_ids, label = (rows.column(name).to_numpy() for name in ("doc_id", "label"))
     hits = (sample.select("doc_id", F.explode(F.arrays_zip("words", "counts")).alias("one"))
