@@ -1,14 +1,14 @@
 """Document quality by Bradley-Terry ranking of pairs.
 
 A pair is a document labelled good and one labelled bad; P(good beats bad) = sigmoid(w (x_good - x_bad)).  Where the
-scores w x reach the quantile that leaves as many below as the sample has bad documents, a document counts as good; its
-score in (0, 1) is 0.5 there.
+scores w x reach the quantile of all documents' scores that leaves the labels' share of bad ones below, a document counts
+as good; its score in (0, 1) is 0.5 there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,6 @@ FEATURES = PLAIN + 8 + 64
 class Quality:
     training_rows: int = 20_000  #: bound of the labelled sample
     pairs_each: int = 8  #: opponents of each document of the rarer label's side
-    most_pairs: int = 100_000
     penalty: float = 1e-3
     rounds: int = 25
 
@@ -45,12 +44,14 @@ class Model:
     centre: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
-    threshold: float  #: the score at the quantile
+    threshold: float  #: the score at the quantile over all documents
     slope: float
 
+    def raw(self, batch: pa.RecordBatch) -> np.ndarray:
+        return (features(batch) - self.centre) / self.scale @ self.weights
+
     def scores(self, batch: pa.RecordBatch) -> np.ndarray:
-        raw = (features(batch) - self.centre) / self.scale @ self.weights
-        return 1 / (1 + np.exp(-np.clip(self.slope * (raw - self.threshold), -40, 40)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * (self.raw(batch) - self.threshold), -40, 40)))
 
 
 def repeats(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +118,7 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, by
     x = (x - centre) / scale
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     random = np.random.default_rng(5)
-    number = min(by.most_pairs, by.pairs_each * max(len(good), len(bad)))
+    number = by.pairs_each * max(len(good), len(bad))
     better, worse = (random.permutation(np.resize(side, number)) for side in (good, bad))
     apart = x[better] - x[worse]
     weights = np.zeros(FEATURES)
@@ -129,9 +130,19 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, by
         weights -= step
         if np.abs(step).max() < 1e-6:
             break
-    raw = x @ weights
-    threshold = float(np.quantile(raw, len(bad) / len(raw)))
-    return Model(centre, scale, weights, threshold, 1.0)
+    model = Model(centre, scale, weights, 0.0, 1.0)
+    return replace(model, threshold=score_quantile(documents, model, len(bad) / len(label)))
+
+
+def score_quantile(documents: DataFrame, model: Model, share: float) -> float:
+    """The raw score below which this share of all documents is."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(model.raw(batch))], ["raw"])
+
+    found = documents.select("text").mapInArrow(measure, "raw double").approxQuantile("raw", [share], 1e-3)
+    return found[0] if found else 0.0
 
 
 def scored(documents: DataFrame, model: Model) -> DataFrame:
