@@ -86,17 +86,20 @@ def fingerprints(texts: list[str]) -> list[np.ndarray]:
     data, bounds = text_bytes(pa.array(texts, pa.large_string()))
     kept: list[list[np.ndarray]] = [[] for _ in texts]
     names, plain = BYTE_NAMES[data], data
+    open_ones = np.diff(bounds) > 0
     if len(data):
         for level in range(1, LEVELS):
             names, bounds = phrases(names, plain, bounds)
             plain = names
-            over = np.diff(bounds).max() <= 1
-            if level > 1 or over:
-                high = (mixed(names + np.uint64(level)) >> np.uint64(32)).astype(np.uint32)
-                for one, begin, end in zip(kept, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                    if end > begin and (end > begin + 1 or not one or level < 3):
-                        one.append(high[begin:end])
-            if over:
+            high = (mixed(names + np.uint64(level)) >> np.uint64(32)).astype(np.uint32)
+            # Each text goes by its own levels, so that it doesn't matter which others are in the batch.
+            for at in np.flatnonzero(open_ones).tolist():
+                begin, end = int(bounds[at]), int(bounds[at + 1])
+                several = end > begin + 1
+                if several and level > 1 or not several and (level < 3 or not kept[at]):
+                    kept[at].append(high[begin:end])
+            open_ones &= np.diff(bounds) > 1
+            if not open_ones.any():
                 break
     return [least(np.concatenate(one)) if one else np.zeros(0, np.uint32) for one in kept]
 
