@@ -197,24 +197,21 @@ def written(documents: DataFrame, path: str, folder: str, end_id: int = 0) -> Da
 
 
 def read_back(files: DataFrame) -> DataFrame:
-    """(part, number, doc_id, first, n_tokens, ids_crc32) from the files: first within its file."""
+    """(doc_id, start, n_tokens, ids_crc32) from the files, of which base says how many ids all before it hold."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, number, name in zip(*(batch.column(one).to_pylist() for one in ("part", "number", "file")),
-                                          strict=True):
+            for name, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 doc_ids, firsts, codes = unpacked(read_file(name))
                 crc = [zlib.crc32(codes.slice(begin, end).astype("<u4").tobytes())
                        for begin, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
-                count = len(doc_ids)
                 yield pa.RecordBatch.from_pydict({
-                    "part": pa.array([part] * count, pa.int32()), "number": pa.array([number] * count, pa.int32()),
-                    "doc_id": pa.array(doc_ids, pa.int64()), "first": pa.array(firsts[:-1], pa.int64()),
+                    "doc_id": pa.array(doc_ids, pa.int64()), "start": pa.array(base + firsts[:-1], pa.int64()),
                     "n_tokens": pa.array(np.diff(firsts), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
     parts = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("part", "number", "file").repartition(parts, "file").mapInArrow(
-        read, "part int, number int, doc_id long, first long, n_tokens long, ids_crc32 long")
+    return files.select("file", "base").repartition(parts, "file").mapInArrow(
+        read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(documents: DataFrame, path: str) -> DataFrame:
@@ -234,7 +231,7 @@ def token_files(documents: DataFrame, path: str) -> DataFrame:
         before += totals[part]
     bases = F.broadcast(spark.createDataFrame(bases or [(0, 0)], "part int, part_first long"))
     own = Window.partitionBy("part").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (files.withColumn("file_first", F.coalesce(F.sum("n_ids").over(own), F.lit(0))).join(bases, "part")
-              .select("part", "number", (F.col("file_first") + F.col("part_first")).alias("base")))
-    return (read_back(files).join(starts, ["part", "number"])
-            .select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"))
+    # Known before anything is read, so that what is read needs no join.
+    based = files.withColumn("file_first", F.coalesce(F.sum("n_ids").over(own), F.lit(0))).join(bases, "part").select(
+        "file", (F.col("file_first") + F.col("part_first")).alias("base"))
+    return read_back(based)

@@ -34,6 +34,6 @@ class Ranges:
         return F.size(F.filter(splits, lambda one: one <= self.value()))
 
     def dealt(self, rows: DataFrame, part: Column | str, *order: str | Column) -> DataFrame:
-        """The rows, those of a part together in one partition and ordered by part, then as told."""
+        """The rows, each part in a partition of its own, ordered as told."""
         rows = rows.withColumn("part", F.col(part) if isinstance(part, str) else part)
-        return rows.repartition(len(self.splits) + 1, "part").sortWithinPartitions("part", *order)
+        return rows.repartitionById(len(self.splits) + 1, F.col("part").cast("int")).sortWithinPartitions("part", *order)
