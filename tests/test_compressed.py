@@ -4,10 +4,12 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from exports import write_exports
 from pyspark.sql import functions as F
 
-from metermill import KINDS, read_documents
+from metermill import KINDS, read_documents, translate_export
 from metermill.sources.documents import write_documents
+from metermill.sources.sinks import write_csv
 from metermill.workload import documents as D
 
 
@@ -49,3 +51,26 @@ def test_long_documents_of_short_compressed_files_are_read(spark, tmp_path):
     cut = read_documents(spark, folder, kinds=KINDS, whole_bytes=100_000)
     assert set(meters(cut)) >= {1, 2}
     assert cut.select(F.sum(F.size("DemandReset")).alias("n")).first().n >= 400
+
+
+def test_the_job_writes_compressed_directories(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    source = write_exports(tmp_path / "in")
+    plain = translate_export(spark, source, str(tmp_path / "plain"))
+    small = translate_export(spark, source, str(tmp_path / "small"), compression="gzip")
+    assert all(name.endswith(".csv") for name in names(plain.feed))
+    assert names(small.feed) and all(name.endswith(".csv.gz") for name in names(small.feed))
+
+    def rows(path):
+        return sorted(map(str, spark.read.option("header", True).csv(path).collect()))
+
+    assert rows(small.feed) == rows(plain.feed)
+    assert small.kinds.keys() == plain.kinds.keys()
+    assert all(rows(small.kinds[kind]) == rows(plain.kinds[kind]) for kind in plain.kinds)
+
+
+def test_compressed_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("metermill.sources.sinks.COMPRESSED_ROWS", 4)
+    write_csv(spark.range(10).coalesce(1), str(tmp_path / "out"), compression="gzip")
+    assert len(names(tmp_path / "out")) == 3
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 10
