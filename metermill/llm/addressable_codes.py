@@ -28,6 +28,8 @@ from .ranges import Ranges
 #: Ids after which a file is closed, at the next document.
 FILE_IDS = 2_000_000
 STEP = 512
+#: Ids that are read at once; a longer document's are all read at once.
+READ_IDS = 1 << 18
 #: Pieces that a worker remembers.
 REMEMBERED = 500_000
 
@@ -120,17 +122,37 @@ def unpacked(data: bytes) -> tuple[list[int | None], np.ndarray, Codes]:
 
 
 class Library:
-    """The pieces' ids by the tokenizers library."""
+    """The pieces' ids by the tokenizers library, which is called once for all pieces that it tells apart by their blanks."""
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(raw.decode())
         self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)  #: of each id, in bytes: a sign stands for one
+        self.lengths[list(vocabulary.values())] = [len(token) for token in vocabulary]
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast([piece.decode() for piece in pieces], add_special_tokens=False)
-        return [np.array(one.ids, np.int32) for one in found]
+        texts = [piece.decode() for piece in pieces]
+        blank = [text[0] == " " and bool(text[1:2].strip()) for text in texts]
+        joined = [at for at, one in enumerate(blank) if one]
+        found: list[np.ndarray | None] = [None] * len(pieces)
+        if joined:
+            ids = self.encoded(["".join([texts[at] for at in joined])])[0]
+            ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(pieces[at]) for at in joined])
+            cuts = np.searchsorted(ends, wanted)
+            if cuts[-1] == len(ids) - 1 and (ends[cuts] == wanted).all():  # no token reaches over the end of a piece
+                bounds = [0, *(cuts + 1).tolist()]
+                for at, begin, end in zip(joined, bounds[:-1], bounds[1:], strict=True):
+                    found[at] = ids[begin:end]
+        rest = [at for at, ids in enumerate(found) if ids is None]
+        for at, ids in zip(rest, self.encoded([texts[at] for at in rest]), strict=True):
+            found[at] = ids
+        return found
+
+    def encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(one.ids, np.int32) for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 @lru_cache(maxsize=2)
@@ -196,6 +218,18 @@ def written(documents: DataFrame, path: str, folder: str, end_id: int = 0) -> Da
     return rows.select("part", "doc_id", "text").mapInArrow(write, "part int, number int, file string, n_ids long")
 
 
+def document_crcs(firsts: np.ndarray, codes: Codes) -> list[int]:
+    """The crc32 of each document's ids; neighbours are read at once."""
+    found, at = [], 0
+    while at < len(firsts) - 1:
+        end = max(at + 1, int(np.searchsorted(firsts, firsts[at] + READ_IDS, "right")) - 1)
+        data = memoryview(codes.slice(int(firsts[at]), int(firsts[end])).astype("<u4")).cast("B")
+        bounds = (4 * (firsts[at:end + 1] - firsts[at])).tolist()
+        found += [zlib.crc32(data[begin:after]) for begin, after in zip(bounds[:-1], bounds[1:], strict=True)]
+        at = end
+    return found
+
+
 def read_back(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) from the files, of which base says how many ids all before it hold."""
 
@@ -203,8 +237,7 @@ def read_back(files: DataFrame) -> DataFrame:
         for batch in batches:
             for name, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 doc_ids, firsts, codes = unpacked(read_file(name))
-                crc = [zlib.crc32(codes.slice(begin, end).astype("<u4").tobytes())
-                       for begin, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
+                crc = document_crcs(firsts, codes)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(doc_ids, pa.int64()), "start": pa.array(base + firsts[:-1], pa.int64()),
                     "n_tokens": pa.array(np.diff(firsts), pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})

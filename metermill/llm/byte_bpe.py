@@ -13,6 +13,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -223,12 +224,14 @@ class Encoder:
             self.memory = Memory(self.remembered, self.decimal)
         memory = self.memory
         keys = hashes.tolist()
-        new = [at for at, key in enumerate(keys) if key not in memory.slots]
-        if new:
-            raw = data.tobytes()
-            pieces = [raw[begins[one]:ends[one]] for one in first[new]]
-            memory.add([keys[at] for at in new], self.vocabulary.encode_pieces(pieces))
-        slots = np.array([memory.slots[key] for key in keys], np.int64)[inverse]
+        known = np.fromiter(map(memory.slots.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            raw, used = data.tobytes(), len(memory.slots)
+            pieces = [raw[begin:end] for begin, end in zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)]
+            memory.add([keys[at] for at in new.tolist()], self.vocabulary.encode_pieces(pieces))
+            known[new] = np.arange(used, used + len(new))
+        slots = known[inverse]
         ids_before = np.concatenate([[0], np.cumsum(memory.counts[slots])])
         return slots, by_text, ids_before[by_text]
 
