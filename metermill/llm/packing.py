@@ -30,7 +30,7 @@ CAPACITY = 4096
 #: A band's longest pieces are so many times as long as its shortest.
 BAND = 16
 #: Words, and pieces of words, that a worker remembers at least, and bytes of the longest of them.
-REMEMBERED_WORDS, REMEMBERED_PIECES, LONGEST = 100_000, 300_000, 64
+REMEMBERED_WORDS, REMEMBERED_PIECES, LONGEST = 300_000, 300_000, 64
 NEW = -1  #: stands for the size of the gap of a sequence that the round opens
 
 
@@ -39,6 +39,8 @@ _LATIN = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
 SIMPLE = re.compile(rb"(?:[!-~]|" + _LATIN + rb")+")
 #: What the tokenizer's pattern cuts such a word into, in lower case.
 PIECES = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|(?:[a-z]|" + _LATIN + rb")+|[0-9]|[^a-z0-9\xc3]+")
+#: Signs that are a piece of their own after letters.
+SIGNS = frozenset(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -86,6 +88,11 @@ class WordIds:
         return array("I", [token.id for token in self.model.tokenize(shown)]).tobytes()
 
     def word(self, word: bytes) -> bytes:
+        lower = word.lower()  # of A-Z
+        if lower.isalpha():
+            return self.pieces[lower]
+        if lower[-1] in SIGNS and lower[:-1].isalpha():
+            return self.pieces[lower[:-1]] + self.pieces[lower[-1:]]
         if not SIMPLE.fullmatch(word):
             return self.library(word)
         word = word.lower() if word.isascii() else word.decode().lower().encode()

@@ -105,3 +105,23 @@ def test_sizes_that_many_pieces_have_are_in_many_parts(spark):
     assert max(row["count"] for row in dealt.groupBy("part").count().collect()) < 1000
     ranks = sorted((row["size"], before[row.part, row["size"]] + row["at"]) for row in dealt.collect())
     assert ranks == [(size, at) for size in sorted(total) for at in range(total[size])]
+
+
+def test_words_are_worked_out_once():
+    with open(PATH, "rb") as file:
+        words = WordIds(file.read())
+    worked, work = [], words.words.work
+    words.words.work = lambda word: worked.append(word) or work(word)
+    text = " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26 % 26)}{n}" for n in range(250_000)).encode()
+    assert words.of(text) == words.of(text) and len(worked) == 250_000
+
+
+def test_letters_with_a_sign_need_no_pattern(monkeypatch):
+    with open(PATH, "rb") as file:
+        words = WordIds(file.read())
+    library = Tokenizer.from_file(PATH)
+    signs = [chr(n) for n in range(0x21, 0x7F) if not chr(n).isalnum()]
+    texts = [f"{word}{sign}" for word in ("Abc", "x", "don") for sign in ["", *signs]]
+    wanted = [np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
+    monkeypatch.setattr("metermill.llm.packing.PIECES", None)
+    assert [words.of(text.encode()) for text in texts] == wanted
